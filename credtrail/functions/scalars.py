@@ -21,13 +21,14 @@ LATE_FILING = "Late"
 DEFAULT_TOLERANCE = 1.0
 DEFAULT_TIME_BAR_DAYS = 365
 ID_PREFIX, ID_WIDTH = "REC", 7
-# Whitespace as Python's str.strip() sees it, as one regex character class
-# understood by both Java regex and RE2.
-WHITESPACE_CLASS = (r"[\t\n\x{0B}\f\r\x{1C}-\x{1F} \x{85}\x{A0}\x{1680}"
-                    r"\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]")
+# Whitespace code points as Python's str.strip() sees them, in code-point order.
+WHITESPACE_CODEPOINTS = (
+    0x09, 0x0A, 0x0B, 0x0C, 0x0D, 0x1C, 0x1D, 0x1E, 0x1F, 0x20, 0x85, 0xA0, 0x1680,
+    0x2000, 0x2001, 0x2002, 0x2003, 0x2004, 0x2005, 0x2006, 0x2007, 0x2008, 0x2009,
+    0x200A, 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)
 # ---------------------------------------------------------------------------
 
-EDGE_WHITESPACE = f"^{WHITESPACE_CLASS}+|{WHITESPACE_CLASS}+$"
+WHITESPACE_CHARS = "".join(chr(c) for c in WHITESPACE_CODEPOINTS)
 
 
 def _c(c) -> Column:
@@ -35,8 +36,12 @@ def _c(c) -> Column:
 
 
 def strip_all(c) -> Column:
-    """Remove leading/trailing whitespace of every kind (``trim`` only removes spaces)."""
-    return F.regexp_replace(_c(c), EDGE_WHITESPACE, "")
+    """Remove leading/trailing whitespace of every kind (plain ``trim`` only removes spaces).
+
+    Uses ``trim(BOTH chars FROM c)`` with the whole whitespace set: a
+    codegen'd character scan, no regex.
+    """
+    return F.trim(_c(c), F.lit(WHITESPACE_CHARS))
 
 
 def normalize_invoice_number(c) -> Column:

@@ -28,29 +28,34 @@ def _cond(left: DataFrame, right: DataFrame, keys, rkeys) -> Column:
 
 
 def hot_key_hashes(frames: list[DataFrame], keys: list[str], *,
-                   support: float = 1e-4, min_rows: int = 200_000) -> list[int]:
-    """Hashes of keys with at least ``min_rows`` rows in any of ``frames``.
-
-    Pass 1 is Spark's frequent-items aggregate (Misra-Gries style, memory
-    bounded by 1/support per task, so at most 1/support candidates reach the
-    driver). Pass 2 counts only those candidates, exactly.
+                   min_rows: int = 200_000, fraction: float = 0.01,
+                   support: float = 1e-3, seed: int = 17) -> list[int]:
+    """Hashes of keys estimated to hold at least ``min_rows`` rows.
+
+    Works on a Bernoulli sample of the key columns: Spark's frequent-items
+    aggregate (memory bounded by 1/support per task, at most 1/support
+    candidates reach the driver) proposes candidates, a count over the same
+    sample estimates their sizes. A key with a third of all rows is found
+    with certainty; a missed or false hot key only changes the join path of
+    its rows, never the result.
     """
     hashed = reduce(lambda a, b: a.unionByName(b),
-                    [f.select(F.xxhash64(*keys).alias(_HASH)) for f in frames])
+                    [f.select(*keys).sample(fraction=fraction, seed=seed)
+                     .select(F.xxhash64(*keys).alias(_HASH)) for f in frames])
     row = hashed.stat.freqItems([_HASH], support).first()
     candidates = list(row[0]) if row and row[0] else []
     if not candidates:
         return []
     counts = (hashed.filter(F.col(_HASH).isin(candidates))
               .groupBy(_HASH).count()
-              .filter(F.col("count") >= min_rows)
+              .filter(F.col("count") >= min_rows * fraction)
               .collect())
     return sorted(r[0] for r in counts)
 
 
 def full_outer_join(left: DataFrame, right: DataFrame, keys: list[str], *,
-                    hot_keys="auto", support: float = 1e-4,
-                    min_hot_rows: int = 200_000) -> DataFrame:
+                    hot_keys="auto", min_hot_rows: int = 200_000,
+                    sample_fraction: float = 0.01) -> DataFrame:
     """Full outer join on ``keys`` with NULL matching NULL (``<=>``).
 
     Non-key column names of the two sides must be disjoint. The output has
@@ -76,7 +81,8 @@ def full_outer_join(left: DataFrame, right: DataFrame, keys: list[str], *,
             F.coalesce(F.col(IN_RIGHT), F.lit(False)).alias(IN_RIGHT))
 
     if isinstance(hot_keys, str) and hot_keys == "auto":
-        hot = hot_key_hashes([left, right], keys, support=support, min_rows=min_hot_rows)
+        hot = hot_key_hashes([left, right], keys, min_rows=min_hot_rows,
+                             fraction=sample_fraction)
     else:
         hot = list(hot_keys or [])
     if not hot:

@@ -85,10 +85,10 @@ def reconcile_detail(pr: DataFrame, g2b: DataFrame, *, tolerance: float = S.DEFA
     return classify(merged, tolerance=tolerance, time_bar_days=time_bar_days)
 
 
-RESULT_ORDER = [F.col("supplier_gstin").asc_nulls_last(),
-                F.col("invoice_number").asc_nulls_last(),
-                F.col("purchase_invoice_id").asc_nulls_last(),
-                F.col("gstr2b_id").asc_nulls_last()]
+def result_order() -> list[Column]:
+    """Key order of a sorted outer merge, then the two row ids (a total order)."""
+    return [F.col(c).asc_nulls_last()
+            for c in ("supplier_gstin", "invoice_number", "purchase_invoice_id", "gstr2b_id")]
 
 
 def results_from_detail(detail: DataFrame, *, as_of=None, with_ids: bool = True) -> DataFrame:
@@ -104,7 +104,7 @@ def results_from_detail(detail: DataFrame, *, as_of=None, with_ids: bool = True)
         F.lit(None).cast("tinyint").alias("tolerance_applied"),
         _as_of(as_of).alias("reconciliation_date"))
     if with_ids:
-        out = with_dense_ids(out, RESULT_ORDER, "reconciliation_id")
+        out = with_dense_ids(out, result_order(), "reconciliation_id")
     else:
         out = out.withColumn("reconciliation_id", F.lit(None).cast("string"))
     return out.select("reconciliation_id", "purchase_invoice_id", "gstr2b_id", "match_status",

@@ -9,7 +9,7 @@ uses, so agreement checks the rewrites too.
 
 from __future__ import annotations
 
-from credtrail.functions.scalars import EDGE_WHITESPACE
+from credtrail.functions.scalars import WHITESPACE_CODEPOINTS
 
 AS_OF = "DATE '2001-11-15'"
 
@@ -76,7 +76,8 @@ vendor_filing_compliance AS (
 
 def norm(c: str) -> str:
     """SQL for the invoice-number normalisation (strip all whitespace, upper-case)."""
-    return "upper(regexp_replace(" + c + ", '" + EDGE_WHITESPACE + "', '', 'g'))"
+    chars = " || ".join(f"chr({cp})" for cp in WHITESPACE_CODEPOINTS)
+    return f"upper(trim({c}, {chars}))"
 
 RECON = r"""
 pr_n AS (SELECT *, %(pn)s AS inv_n, 1 AS _l FROM purchase_register),
@@ -204,4 +205,74 @@ def leak(body: str) -> str:
 
 
 def full(body: str) -> str:
-    return with_ctes(ADAPTER, RECON, LEAKAGE, FEATURES, body=body)
+    """All stage CTEs; ``body`` may start with further CTEs ("name AS (...), ...")."""
+    head = with_ctes(ADAPTER, RECON, LEAKAGE, FEATURES, body="")
+    if body.lstrip().upper().startswith("SELECT"):
+        return head + body
+    return head.rstrip("\n") + ",\n" + body
+
+
+def trim_ws(c: str) -> str:
+    chars = " || ".join(f"chr({cp})" for cp in WHITESPACE_CODEPOINTS)
+    return f"trim({c}, {chars})"
+
+
+def parse_period(c: str) -> str:
+    """SQL twin of functions.periods.parse_tax_period."""
+    v = trim_ws(f"CAST({c} AS VARCHAR)")
+    return (
+        f"CASE WHEN regexp_full_match({v}, '[0-9]{{4}}-Q[1-4]') OR regexp_full_match({v}, '[0-9]{{4}}Q[1-4]') "
+        f"THEN make_date(CAST(substr({v}, 1, 4) AS INTEGER), (CAST(right({v}, 1) AS INTEGER) - 1) * 3 + 1, 1) "
+        f"WHEN regexp_full_match({v}, '[0-9]{{4}}-[0-9]{{2}}') THEN CAST(try_strptime({v}, '%Y-%m') AS DATE) "
+        f"WHEN regexp_full_match({v}, '[0-9]{{6}}') THEN CAST(try_strptime({v}, '%Y%m') AS DATE) "
+        f"WHEN regexp_full_match({v}, '[0-9]{{4}}') THEN CAST(try_strptime({v}, '%Y') AS DATE) "
+        f"WHEN regexp_full_match({v}, '[0-9]{{8}}') THEN CAST(try_strptime({v}, '%Y%m%d') AS DATE) "
+        f"WHEN regexp_matches({v}, '^[0-9]{{4}}-[0-9]{{1,2}}-[0-9]{{1,2}}([ T].*)?$') "
+        f"THEN CAST(try_strptime(regexp_extract({v}, '^([0-9]{{4}}-[0-9]{{1,2}}-[0-9]{{1,2}})', 1), '%Y-%m-%d') AS DATE) "
+        "ELSE NULL END")
+
+
+J2 = r"""
+j2 AS (
+  SELECT coalesce(p.supplier_gstin, g.supplier_gstin) AS supplier_gstin,
+         coalesce(p.invoice_number, g.invoice_number) AS invoice_number,
+         p.purchase_invoice_id, g.gstr2b_id, p.total_tax,
+         g.igst AS igst_g2b, g.cgst AS cgst_g2b, g.sgst AS sgst_g2b,
+         CAST(coalesce(g.taxable_value, 0) + coalesce(g.igst, 0) + coalesce(g.cgst, 0) + coalesce(g.sgst, 0) AS DOUBLE) AS invoice_value_g2b
+  FROM purchase_register p FULL OUTER JOIN gstr2b_data g
+    ON p.supplier_gstin IS NOT DISTINCT FROM g.supplier_gstin AND p.invoice_number IS NOT DISTINCT FROM g.invoice_number),
+j2q AS (SELECT quantile_cont(CAST(total_tax AS DOUBLE), 0.05) AS lo, quantile_cont(CAST(total_tax AS DOUBLE), 0.95) AS hi FROM j2),
+flagged AS (
+  SELECT j2.*, 0.0 AS anomaly_score,
+         coalesce(CAST(total_tax AS DOUBLE) > hi OR CAST(total_tax AS DOUBLE) < lo, false) AS is_anomaly
+  FROM j2 CROSS JOIN j2q)"""
+
+
+def anomalies(body: str) -> str:
+    return with_ctes(ADAPTER, J2, body=body)
+
+
+def trend_forecast(series: list[str], value: str, horizon: int = 4) -> str:
+    """Trend forecast of SUM(value) per tax period (quarter labels) per series."""
+    s = ", ".join(series)
+    sp = (s + ", ") if series else ""
+    on = " AND ".join(f"h.{c} IS NOT DISTINCT FROM f.{c}" for c in series) or "TRUE"
+    on2 = " AND ".join(f"h.{c} IS NOT DISTINCT FROM se.{c}" for c in series) or "TRUE"
+    on3 = " AND ".join(f"f.{c} IS NOT DISTINCT FROM se.{c}" for c in series) or "TRUE"
+    fs = ", ".join(f"f.{c}" for c in series)
+    hs = ", ".join(f"h.{c}" for c in series)
+    return full(
+        f"tot AS (SELECT {sp}tax_period, CAST(SUM({value}) AS DOUBLE) AS y FROM ils GROUP BY {sp}tax_period),\n"
+        f"h AS (SELECT {sp}{parse_period('tax_period')} AS ds, y FROM tot),\n"
+        f"hx AS (SELECT *, CAST(datediff('day', DATE '1970-01-01', ds) AS DOUBLE) AS x FROM h WHERE ds IS NOT NULL AND y IS NOT NULL),\n"
+        f"f0 AS (SELECT {sp}regr_slope(y, x) AS b, regr_intercept(y, x) AS a, AVG(y) AS m, COUNT(*) AS n, MAX(ds) AS last FROM hx {'GROUP BY ' + s if series else ''}),\n"
+        f"f AS (SELECT {sp}coalesce(b, 0.0) AS b, coalesce(a, m) AS a, n, last FROM f0),\n"
+        f"se AS (SELECT {(fs + ', ') if series else ''}sqrt(SUM(power(h.y - (f.a + f.b * h.x), 2)) / CAST(greatest(MAX(f.n) - 2, 1) AS DOUBLE)) AS se "
+        f"FROM hx h JOIN f ON {on} {'GROUP BY ' + fs if series else ''}),\n"
+        f"pts AS (SELECT {(hs + ', ') if series else ''}h.ds FROM hx h UNION ALL "
+        f"SELECT {(fs + ', ') if series else ''}CAST(f.last + to_months(CAST(3 * k AS INTEGER)) AS DATE) FROM f CROSS JOIN range(1, {horizon + 1}) t(k))\n"
+        f"SELECT {(', '.join('p.' + c for c in series) + ', ') if series else ''}p.ds, "
+        "ROUND(f.a + f.b * CAST(datediff('day', DATE '1970-01-01', p.ds) AS DOUBLE), 2) AS yhat, "
+        "ROUND(f.a + f.b * CAST(datediff('day', DATE '1970-01-01', p.ds) AS DOUBLE) - coalesce(se.se, 0.0) * 1.2815515655446004, 2) AS yhat_lower, "
+        "ROUND(f.a + f.b * CAST(datediff('day', DATE '1970-01-01', p.ds) AS DOUBLE) + coalesce(se.se, 0.0) * 1.2815515655446004, 2) AS yhat_upper "
+        f"FROM pts p JOIN f ON {on.replace('h.', 'p.')} JOIN se ON {on3}")

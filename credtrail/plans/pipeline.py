@@ -11,7 +11,6 @@ from __future__ import annotations
 
 import datetime as dt
 import json
-import os
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -37,15 +36,6 @@ def compute_stages(pr: DataFrame, g2b: DataFrame, vm: DataFrame, comp: DataFrame
             "vendor_risk_scores": vrs, "_detail": detail, "_features": feats}
 
 
-def write_table(df: DataFrame, table: str, path: str, partition_by=None) -> str:
-    """Replace-contents sink: cast to the declared schema and overwrite."""
-    w = cast_to_schema(df, table).write.mode("overwrite")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(path)
-    return path
-
-
 def run_pipeline(spark: SparkSession, input_dir: str, output_dir: str, *,
                  as_of=None, input_format: str = "parquet", forecast_horizon: int = 4,
                  use_isolation_forest: bool = False) -> dict:
@@ -64,7 +54,7 @@ def run_pipeline(spark: SparkSession, input_dir: str, output_dir: str, *,
     report["stages"]["load"] = load_report
     staged = {}
     for name, df in tables.items():
-        staged[name] = spark.read.parquet(write_table(df, name, f"{output_dir}/{name}"))
+        staged[name] = spark.read.parquet(io.write_table(df, name, f"{output_dir}/{name}"))
 
     out = compute_stages(staged["purchase_register"], staged["gstr2b_data"],
                          staged["vendor_master"], staged["vendor_filing_compliance"],
@@ -72,7 +62,7 @@ def run_pipeline(spark: SparkSession, input_dir: str, output_dir: str, *,
     try:
         for name in ("invoice_reconciliation_results", "vendor_risk_scores",
                      "itc_leakage_summary"):
-            path = write_table(out[name], name, f"{output_dir}/{name}")
+            path = io.write_table(out[name], name, f"{output_dir}/{name}")
             report["stages"][name] = {"path": path, "rows": spark.read.parquet(path).count()}
     finally:
         out["_detail"].unpersist()
@@ -92,7 +82,6 @@ def run_pipeline(spark: SparkSession, input_dir: str, output_dir: str, *,
         fc = forecast.forecast(totals, [], "tax_period", "y", horizon=forecast_horizon)
         io.write_forecast_csv(fc, f"{output_dir}/{name}")
         report["stages"][name] = {"path": f"{output_dir}/{name}"}
-    os.makedirs(output_dir, exist_ok=True) if "://" not in output_dir else None
     return report
 
 

@@ -20,6 +20,7 @@ DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
 }
 
 
@@ -33,6 +34,9 @@ def get_session(app: str = "credtrail", master: str | None = None,
     settings = dict(DEFAULT_CONF)
     if shuffle_partitions:
         settings["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if master and master.startswith("local"):
+        # local mode runs every task inside the driver JVM
+        settings.setdefault("spark.driver.memory", "16g")
     settings.update(conf or {})
     for k, v in settings.items():
         builder = builder.config(k, v)
