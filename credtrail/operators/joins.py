@@ -20,6 +20,9 @@ from pyspark.sql import functions as F
 
 IN_LEFT, IN_RIGHT = "_in_left", "_in_right"
 _HASH = "_key_hash"
+# detection results per (left plan, right plan, keys, settings): the same
+# written tables joined again in one session reuse the answer
+_HOT_MEMO: dict[tuple, list[int]] = {}
 
 
 def _cond(left: DataFrame, right: DataFrame, keys, rkeys) -> Column:
@@ -81,8 +84,12 @@ def full_outer_join(left: DataFrame, right: DataFrame, keys: list[str], *,
             F.coalesce(F.col(IN_RIGHT), F.lit(False)).alias(IN_RIGHT))
 
     if isinstance(hot_keys, str) and hot_keys == "auto":
-        hot = hot_key_hashes([left, right], keys, min_rows=min_hot_rows,
-                             fraction=sample_fraction)
+        memo = (left.semanticHash(), right.semanticHash(), tuple(keys), min_hot_rows,
+                sample_fraction)
+        if memo not in _HOT_MEMO:
+            _HOT_MEMO[memo] = hot_key_hashes([left, right], keys, min_rows=min_hot_rows,
+                                             fraction=sample_fraction)
+        hot = _HOT_MEMO[memo]
     else:
         hot = list(hot_keys or [])
     if not hot:

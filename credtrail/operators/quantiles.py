@@ -30,23 +30,36 @@ def exact_quantiles(df: DataFrame, col: str | Column, probs: list[float]) -> lis
     total = sum(s for _, s in sizes)
     if total == 0:
         return [None for _ in probs]
-    starts, acc = [], 0
-    for pid, s in sizes:
-        starts.append((pid, acc, s))
-        acc += s
+    start_of, acc = {}, 0
+    for pid, size in sizes:
+        start_of[pid] = (acc, size)
+        acc += size
+    ranks = set()
+    for p in probs:
+        pos = (total - 1) * p
+        ranks.update({math.floor(pos), math.ceil(pos)})
+    wanted = {pid: st for pid, (st, size) in start_of.items()
+              if any(st <= k < st + size for k in ranks)}
+    # one job: running counts inside the (few) partitions that hold a wanted
+    # rank; each window partition is one range partition, bounded in size
+    starts = F.create_map(*[x for pid, st in wanted.items() for x in (F.lit(pid), F.lit(st))])
+    part = ordered.filter(F.col("pid").isin(list(wanted)))
+    w = Window.partitionBy("pid").orderBy("v").rowsBetween(Window.unboundedPreceding,
+                                                           Window.currentRow)
+    cum = part.withColumn("_end", F.sum("n").over(w) + starts[F.col("pid")])
+    cum = cum.withColumn("_begin", F.col("_end") - F.col("n"))
+    hit = F.lit(False)
+    for k in ranks:
+        hit = hit | ((F.col("_begin") <= k) & (F.lit(k) < F.col("_end")))
+    found = [(r["_begin"], r["_end"], r["v"]) for r in cum.filter(hit).collect()]
 
     def value_at(k: int) -> float:
-        pid, start, _ = next(t for t in starts if t[1] <= k < t[1] + t[2])
-        part = ordered.filter(F.col("pid") == pid)
-        w = Window.orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        cum = part.withColumn("cum", F.sum("n").over(w) + F.lit(start))
-        return cum.filter(F.col("cum") > k).orderBy("v").first()["v"]
+        return next(v for b, e, v in found if b <= k < e)
 
     out = []
     for p in probs:
         pos = (total - 1) * p
         lo, hi = math.floor(pos), math.ceil(pos)
-        a = value_at(lo)
-        b = a if hi == lo else value_at(hi)
+        a, b = value_at(lo), value_at(hi)
         out.append(a + (b - a) * (pos - lo))
     return out
