@@ -243,7 +243,7 @@ j2 AS (
     ON p.supplier_gstin IS NOT DISTINCT FROM g.supplier_gstin AND p.invoice_number IS NOT DISTINCT FROM g.invoice_number),
 j2q AS (SELECT quantile_cont(CAST(total_tax AS DOUBLE), 0.05) AS lo, quantile_cont(CAST(total_tax AS DOUBLE), 0.95) AS hi FROM j2),
 flagged AS (
-  SELECT j2.*, 0.0 AS anomaly_score,
+  SELECT j2.*, CAST(0.0 AS DOUBLE) AS anomaly_score,
          coalesce(CAST(total_tax AS DOUBLE) > hi OR CAST(total_tax AS DOUBLE) < lo, false) AS is_anomaly
   FROM j2 CROSS JOIN j2q)"""
 
