@@ -12,10 +12,9 @@ from __future__ import annotations
 import datetime as dt
 import threading
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
-from credtrail.session import scratch_path
+from credtrail.session import checkpoint_root, scratch_path
 from credtrail.sources import testdata
 from credtrail.sources.schemas import cast_to_schema
 
@@ -50,19 +49,17 @@ class Catalog:
 
     def _materialize_inputs(self) -> None:
         supplier, nation, lineitem = self.raw("supplier"), self.raw("nation"), self.raw("lineitem")
-        base = testdata.invoice_base(lineitem, supplier, nation).persist(
-            StorageLevel.MEMORY_AND_DISK)
-        try:
-            frames = {
-                "vendor_master": testdata.vendor_master(supplier, nation),
-                "purchase_register": testdata.purchase_register(base),
-                "gstr2b_data": testdata.gstr2b_data(base),
-                "vendor_filing_compliance": testdata.vendor_filing_compliance(base),
-            }
-            for name, df in frames.items():
-                _written[self._key(name)] = self._write(name, df)
-        finally:
-            base.unpersist()
+        # the invoice base feeds three tables: write it once to the checkpoint folder
+        checkpoint_root(self.spark)
+        base = testdata.invoice_base(lineitem, supplier, nation).checkpoint(eager=True)
+        frames = {
+            "vendor_master": testdata.vendor_master(supplier, nation),
+            "purchase_register": testdata.purchase_register(base),
+            "gstr2b_data": testdata.gstr2b_data(base),
+            "vendor_filing_compliance": testdata.vendor_filing_compliance(base),
+        }
+        for name, df in frames.items():
+            _written[self._key(name)] = self._write(name, df)
 
     def _materialize_stages(self) -> None:
         from credtrail.plans import pipeline
