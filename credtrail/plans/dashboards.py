@@ -32,6 +32,13 @@ def d1_kpis(ils: DataFrame, vrs: DataFrame, periods=(), risks=()) -> DataFrame:
     return g.withColumn("leakage_pct", pct)
 
 
+def d1_kpi_display(kpis: DataFrame) -> DataFrame:
+    """The KPI row as display strings: thousands separators, two decimals, percent sign."""
+    return kpis.select(*[S.money_text(c).alias(f"{c}_text")
+                         for c in ("total_itc", "matched_itc", "at_risk_itc")],
+                       F.concat(F.format_number("leakage_pct", 2), F.lit("%")).alias("leakage_pct_text"))
+
+
 def d2_status_breakdown(irr: DataFrame) -> DataFrame:
     return (irr.filter(F.col("match_status").isNotNull()).groupBy("match_status")
             .agg(F.count(F.lit(1)).alias("count")).orderBy(F.col("count").desc()))
