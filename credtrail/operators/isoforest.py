@@ -98,20 +98,22 @@ class IsolationForestModel:
         def score(*cols: pd.Series) -> pd.Series:
             feat, thr, left, right, size = arrays.value
             x = (np.column_stack([c.to_numpy(dtype=float) for c in cols]) - means) / stds
-            rows = np.arange(len(x))
-            total = np.zeros(len(x))
-            for t in range(feat.shape[0]):
-                node = np.zeros(len(x), dtype=np.int64)
-                depth = np.zeros(len(x))
-                active = feat[t, node] >= 0
-                while active.any():
-                    f = feat[t, node[active]]
-                    go_left = x[rows[active], f] < thr[t, node[active]]
-                    node[active] = np.where(go_left, left[t, node[active]], right[t, node[active]])
-                    depth[active] += 1
-                    active = feat[t, node] >= 0
-                total += depth + average_path_length(size[t, node])
-            return pd.Series(-np.power(2.0, -(total / feat.shape[0]) / c_psi))
+            n, trees = len(x), feat.shape[0]
+            tree = np.arange(trees)[None, :]
+            row = np.arange(n)[:, None]
+            node = np.zeros((n, trees), dtype=np.int64)   # every row in every tree at once
+            depth = np.zeros((n, trees))
+            while True:
+                f = feat[tree, node]
+                active = f >= 0
+                if not active.any():
+                    break
+                go_left = x[row, np.where(active, f, 0)] < thr[tree, node]
+                step = np.where(go_left, left[tree, node], right[tree, node])
+                node = np.where(active, step, node)
+                depth += active
+            path = depth + average_path_length(size[tree, node])
+            return pd.Series(-np.power(2.0, -path.mean(axis=1) / c_psi))
 
         return score(*[F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in self.features])
 

@@ -2,8 +2,8 @@
 
 ``percentile()`` keeps every distinct value of its input in one buffer on
 the final task; at cluster scale that is unbounded. Here the distinct values
-are counted (map-side combined), range-partitioned and sorted, and written to
-the checkpoint folder; the driver receives one row per partition (its size)
+are counted (map-side combined), range-partitioned and sorted, and written as
+a table in the checkpoint folder; the driver receives one row per partition (its size)
 and then one row per requested rank.
 """
 
@@ -14,7 +14,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from credtrail.session import checkpoint_root
+from credtrail.operators.ids import sorted_snapshot
 
 
 def exact_quantiles(df: DataFrame, col: str | Column, probs: list[float]) -> list[float | None]:
@@ -23,8 +23,7 @@ def exact_quantiles(df: DataFrame, col: str | Column, probs: list[float]) -> lis
     c = F.col(col) if isinstance(col, str) else col
     vals = df.select(c.cast("double").alias("v")).filter(F.col("v").isNotNull() & ~F.isnan("v"))
     counts = vals.groupBy("v").agg(F.count(F.lit(1)).alias("n"))
-    checkpoint_root(df.sparkSession)
-    ordered = counts.orderBy("v").checkpoint(eager=True).withColumn("pid", F.spark_partition_id())
+    ordered = sorted_snapshot(counts, [F.col("v")]).withColumnRenamed("_pid", "pid")
     sizes = sorted((r["pid"], r["s"]) for r in
                    ordered.groupBy("pid").agg(F.sum("n").alias("s")).collect())
     total = sum(s for _, s in sizes)
