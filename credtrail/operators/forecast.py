@@ -14,7 +14,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from credtrail.functions.periods import FREQ_MONTH, FREQ_QUARTER, infer_freq, parse_tax_period
@@ -45,7 +45,12 @@ def _history(df: DataFrame, series: list[str], period_col: str, value_col: str)
 
 def forecast(df: DataFrame, series_cols: list[str], period_col: str, value_col: str = "y", *,
              horizon: int = 4, method: str = "trend", freq: str | None = None) -> DataFrame:
-    """History + ``horizon`` future periods with yhat, yhat_lower, yhat_upper per series."""
+    """History + ``horizon`` future periods with yhat, yhat_lower, yhat_upper per series.
+
+    The trend fit is one pass over the history partitioned by series: the
+    least-squares line, the residual standard error and the last period are
+    window aggregates over that partitioning, so the data is shuffled once.
+    """
     one = not series_cols
     series = ["_series"] if one else list(series_cols)
     src = df.withColumn("_series", F.lit(0)) if one else df
@@ -53,29 +58,32 @@ def forecast(df: DataFrame, series_cols: list[str], period_col: str, value_col:
     if method == "seasonal":
         out = _seasonal(hist, series, horizon, freq or infer_freq(df, period_col).first()["freq"])
         return out.drop("_series") if one else out
+    w = Window.partitionBy(*series)
     x = F.datediff(F.col("ds"), F.lit(EPOCH)).cast("double")
-    fit = hist.groupBy(*series).agg(
-        F.regr_slope(F.col("y"), x).alias("_b"), F.regr_intercept(F.col("y"), x).alias("_a"),
-        F.avg("y").alias("_mean"), F.count(F.lit(1)).alias("_n"), F.max("ds").alias("_last"))
+    fitted = hist.select(
+        *series, "ds", "y", x.alias("_x"),
+        F.regr_slope(F.col("y"), x).over(w).alias("_b"),
+        F.regr_intercept(F.col("y"), x).over(w).alias("_a"),
+        F.avg("y").over(w).alias("_mean"), F.count(F.lit(1)).over(w).alias("_n"),
+        F.max("ds").over(w).alias("_last"))
     # a single point (or constant x) has no slope: flat line at the mean
-    fit = fit.select(*series, F.coalesce("_b", F.lit(0.0)).alias("_b"),
-                     F.coalesce("_a", F.col("_mean")).alias("_a"), "_n", "_last")
-    line = F.col("_a") + F.col("_b") * x
-    resid = hist.join(fit, series).groupBy(*series).agg(
-        F.sqrt(F.sum(F.pow(F.col("y") - line, 2))
-               / F.greatest(F.max("_n") - 2, F.lit(1)).cast("double")).alias("_se"))
-    model = fit.join(resid, series)
+    fitted = fitted.withColumn("_a", F.coalesce("_a", "_mean")).withColumn(
+        "_b", F.coalesce("_b", F.lit(0.0)))
+    sq = F.pow(F.col("y") - (F.col("_a") + F.col("_b") * F.col("_x")), 2)
+    fitted = fitted.withColumn(
+        "_se", F.sqrt(F.sum(sq).over(w) / F.greatest(F.col("_n") - 2, F.lit(1)).cast("double")))
+    # one row per series seeds the future periods
+    seeds = fitted.filter(F.col("ds") == F.col("_last")).dropDuplicates(series)
     if freq is None:
-        # labels' frequency: one row from a global bool_or aggregation
-        model = model.crossJoin(infer_freq(df, period_col).withColumnRenamed("freq", "_fq"))
+        # the labels' frequency: one row from a global bool_or aggregation
+        seeds = seeds.crossJoin(infer_freq(df, period_col).withColumnRenamed("freq", "_fq"))
     else:
-        model = model.withColumn("_fq", F.lit(freq))
-    steps = model.select(*series, "_a", "_b", "_se", "_last", "_fq",
+        seeds = seeds.withColumn("_fq", F.lit(freq))
+    steps = seeds.select(*series, "_a", "_b", "_se", "_last", "_fq",
                          F.explode(F.sequence(F.lit(1), F.lit(horizon))).alias("_k"))
     future = steps.select(*series, _future(F.col("_last"), F.col("_fq"), F.col("_k")).alias("ds"),
                           "_a", "_b", "_se")
-    past = hist.join(model.select(*series, "_a", "_b", "_se"), series)
-    allrows = past.select(*series, "ds", "_a", "_b", "_se").unionByName(future)
+    allrows = fitted.select(*series, "ds", "_a", "_b", "_se").unionByName(future)
     yhat = F.col("_a") + F.col("_b") * F.datediff(F.col("ds"), F.lit(EPOCH)).cast("double")
     band = F.coalesce(F.col("_se"), F.lit(0.0)) * Z80
     out = allrows.select(*series, "ds", yhat.alias("yhat"), (yhat - band).alias("yhat_lower"),

@@ -11,7 +11,15 @@ from pyspark.sql import SparkSession
 # spark.sql.shuffle.partitions to several times the core count and let AQE
 # coalesce small partitions; the advisory size keeps each reducer's input
 # spill-free on a typical executor.
+# Broadcasts: the planner's static estimate for a file scan is its compressed
+# size, which says little about the table in memory, so static automatic
+# broadcasting is off. AQE still turns a join into a broadcast join after the
+# shuffle stage has run, from the measured (uncompressed) size of that side.
+# Explicit broadcast() hints are used only on data whose size is bounded by
+# construction (25 nations, one row per partition, a forest's node table).
 DEFAULT_CONF = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "32m",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
