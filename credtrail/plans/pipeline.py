@@ -36,18 +36,48 @@ def compute_stages(pr: DataFrame, g2b: DataFrame, vm: DataFrame, comp: DataFrame
             "vendor_risk_scores": vrs, "_detail": detail, "_features": feats}
 
 
+RISK_MODEL, ANOMALY_MODEL = "vendor_risk_model", "anomaly_model"
+
+
+def train_models(spark: SparkSession, output_dir: str, model_dir: str, *, seed: int = 42) -> dict:
+    """Train both models from a finished run's tables and save them under ``model_dir``.
+
+    The random forest learns the vendor features (synthetic target: rule
+    score + seeded noise); the isolation forest learns the merged invoices.
+    """
+    from credtrail.operators import anomaly
+    from credtrail.sources import io
+
+    t = {n: spark.read.parquet(f"{output_dir}/{n}") for n in
+         ("vendor_master", "purchase_register", "gstr2b_data", "vendor_filing_compliance",
+          "invoice_reconciliation_results")}
+    feats = risk.vendor_features(t["vendor_master"], t["invoice_reconciliation_results"],
+                                 t["vendor_filing_compliance"], t["purchase_register"])
+    model, mse = risk.train_risk_model(feats, seed=seed)
+    io.save_model(model, f"{model_dir}/{RISK_MODEL}")
+    iforest = anomaly.train_isolation_forest(t["purchase_register"], t["gstr2b_data"], seed=seed)
+    io.save_model(iforest, f"{model_dir}/{ANOMALY_MODEL}")
+    return {"risk_model_mse": mse, "anomaly_threshold": iforest.offset}
+
+
 def run_pipeline(spark: SparkSession, input_dir: str, output_dir: str, *,
                  as_of=None, input_format: str = "parquet", forecast_horizon: int = 4,
-                 use_isolation_forest: bool = False) -> dict:
+                 model_dir: str | None = None) -> dict:
     """Run every stage over the input tables in ``input_dir``; write to ``output_dir``.
 
     ``input_dir`` holds the four input tables (vendor_master, purchase_register,
     gstr2b_data, vendor_filing_compliance) as Parquet folders or CSV files.
+    Saved models under ``model_dir`` are used when present; otherwise the
+    risk score is the weighted rule and anomalies use the quantile rule.
     Returns a per-stage report (row counts, written paths).
     """
     from credtrail.operators import anomaly, forecast
     from credtrail.sources import io
 
+    risk_model = io.load_model(f"{model_dir}/{RISK_MODEL}") if model_dir else None
+    anomaly_model = (io.load_model(f"{model_dir}/{ANOMALY_MODEL}", kind="iforest")
+                     if model_dir else None)
+
     as_of = as_of or dt.date.today()
     report: dict = {"as_of": str(as_of), "stages": {}}
     tables, load_report = io.load_tables(spark, input_dir, fmt=input_format)
@@ -58,7 +88,7 @@ def run_pipeline(spark: SparkSession, input_dir: str, output_dir: str, *,
 
     out = compute_stages(staged["purchase_register"], staged["gstr2b_data"],
                          staged["vendor_master"], staged["vendor_filing_compliance"],
-                         as_of=as_of)
+                         as_of=as_of, risk_model=risk_model)
     try:
         for name in ("invoice_reconciliation_results", "vendor_risk_scores",
                      "itc_leakage_summary"):
@@ -67,14 +97,13 @@ def run_pipeline(spark: SparkSession, input_dir: str, output_dir: str, *,
     finally:
         out["_detail"].unpersist()
 
-    anomalies = anomaly.detect_anomalies(staged["purchase_register"], staged["gstr2b_data"])
+    anomalies = anomaly.detect_anomalies(staged["purchase_register"], staged["gstr2b_data"],
+                                         model=anomaly_model)
     anomalies.write.mode("overwrite").parquet(f"{output_dir}/anomalies")
-    report["stages"]["anomalies"] = {"path": f"{output_dir}/anomalies"}
-    if use_isolation_forest:
-        model = anomaly.train_isolation_forest(staged["purchase_register"], staged["gstr2b_data"])
-        scored = anomaly.detect_anomalies(staged["purchase_register"], staged["gstr2b_data"],
-                                          model=model)
-        scored.write.mode("overwrite").parquet(f"{output_dir}/anomalies_iforest")
+    report["stages"]["anomalies"] = {"path": f"{output_dir}/anomalies",
+                                     "model": "isolation forest" if anomaly_model else "quantile rule"}
+    report["stages"]["vendor_risk_scores"]["model"] = (
+        "random forest" if risk_model else "weighted rule")
 
     ils = spark.read.parquet(f"{output_dir}/itc_leakage_summary")
     for name, value in (("itc_forecast", "total_itc_claimed"), ("leakage_forecast", "itc_at_risk")):

@@ -71,3 +71,15 @@ def test_pipeline_end_to_end(spark, catalog):
     fc = spark.read.option("header", True).csv(f"{out}/itc_forecast")
     assert fc.columns == ["ds", "yhat", "yhat_lower", "yhat_upper"] and fc.count() > 4
     assert os.path.exists(f"{out}/anomalies")
+    assert report["stages"]["anomalies"]["model"] == "quantile rule"
+    # train, save, and rerun: the saved models are picked up
+    from credtrail.plans.pipeline import train_models
+    models = _tmp()
+    info = train_models(spark, out, models)
+    assert info["anomaly_threshold"] is not None
+    out2 = _tmp()
+    report2 = run_pipeline(spark, src, out2, as_of=catalog.as_of, model_dir=models)
+    assert report2["stages"]["vendor_risk_scores"]["model"] == "random forest"
+    assert report2["stages"]["anomalies"]["model"] == "isolation forest"
+    flagged = spark.read.parquet(f"{out2}/anomalies")
+    assert 0 < flagged.filter("is_anomaly").count() < 0.2 * flagged.count()
