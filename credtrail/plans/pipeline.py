@@ -26,7 +26,12 @@ def compute_stages(pr: DataFrame, g2b: DataFrame, vm: DataFrame, comp: DataFrame
     The reconciliation detail is persisted (memory, spilling to disk) while
     the three outputs are written; Spark recomputes lost blocks from lineage.
     """
-    detail = reconcile.reconcile_detail(pr, g2b, hot_keys=hot_keys).persist(
+    # keep only what the three outputs read: ids, keys, the purchase side's
+    # vendor / period / date / tax, and the classification
+    needed = ["supplier_gstin", "invoice_number", "purchase_invoice_id", "gstr2b_id",
+              "vendor_id", "tax_period_pr", "invoice_date_pr", "total_tax", "match_status",
+              "mismatch_type", "tax_difference", "_in_left", "_in_right"]
+    detail = reconcile.reconcile_detail(pr, g2b, hot_keys=hot_keys).select(*needed).persist(
         StorageLevel.MEMORY_AND_DISK)
     irr = reconcile.results_from_detail(detail, as_of=as_of, with_ids=True)
     ils = leakage.itc_leakage_from_detail(detail, as_of=as_of)
