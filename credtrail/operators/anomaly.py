@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from credtrail.operators.quantiles import exact_quantiles
 from credtrail.operators.reconcile import merge_invoices
-from credtrail.session import checkpoint_root
+from credtrail.session import write_snapshot
 
 FEATURES = ["total_tax", "igst_g2b", "cgst_g2b", "sgst_g2b", "invoice_value_g2b"]
 # The fallback rule's quantiles and the forest's parameters.
@@ -48,8 +48,7 @@ def detect_anomalies(pr: DataFrame, g2b: DataFrame, model=None, *, hot_keys="aut
         return model.transform(frame)
     # the thresholds need a full pass before the flags can be computed: write
     # the merge once to the checkpoint folder instead of joining twice
-    checkpoint_root(frame.sparkSession)
-    frame = frame.checkpoint(eager=True)
+    frame = write_snapshot(frame, "anomaly-merge")
     lo, hi = exact_quantiles(frame, "total_tax", [LOW_Q, HIGH_Q])
     t = F.col("total_tax").cast("double")
     flag = F.coalesce((t > F.lit(hi)) | (t < F.lit(lo)), F.lit(False)) if lo is not None \

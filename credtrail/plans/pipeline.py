@@ -16,7 +16,6 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from credtrail.operators import leakage, reconcile, risk
-from credtrail.sources.schemas import cast_to_schema
 
 
 def compute_stages(pr: DataFrame, g2b: DataFrame, vm: DataFrame, comp: DataFrame, *,

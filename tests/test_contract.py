@@ -2,7 +2,6 @@
 
 import decimal
 import math
-import os
 
 import pytest
 
