@@ -14,7 +14,7 @@ import threading
 
 from pyspark.sql import DataFrame, SparkSession
 
-from credtrail.session import checkpoint_root, scratch_path
+from credtrail.session import scratch_path, write_snapshot
 from credtrail.sources import testdata
 from credtrail.sources.schemas import cast_to_schema
 
@@ -50,8 +50,7 @@ class Catalog:
     def _materialize_inputs(self) -> None:
         supplier, nation, lineitem = self.raw("supplier"), self.raw("nation"), self.raw("lineitem")
         # the invoice base feeds three tables: write it once to the checkpoint folder
-        checkpoint_root(self.spark)
-        base = testdata.invoice_base(lineitem, supplier, nation).checkpoint(eager=True)
+        base = write_snapshot(testdata.invoice_base(lineitem, supplier, nation), "invoice-base")
         frames = {
             "vendor_master": testdata.vendor_master(supplier, nation),
             "purchase_register": testdata.purchase_register(base),
