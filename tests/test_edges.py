@@ -208,3 +208,26 @@ def test_exact_quantiles_match_numpy(spark):
     got = exact_quantiles(df.repartition(5), "x", [0.05, 0.5, 0.95, 0.0, 1.0])
     want = np.percentile(vals, [5, 50, 95, 0, 100])
     assert got == pytest.approx(list(want), rel=1e-12)
+
+
+def test_forecast_empty_input_and_flat_single_point(spark):
+    from credtrail.operators.forecast import forecast
+    empty = spark.createDataFrame([], "tax_period string, y double")
+    assert forecast(empty, [], "tax_period", "y").count() == 0
+    one = spark.createDataFrame([("2023-Q1", 10.0)], "tax_period string, y double")
+    rows = forecast(one, [], "tax_period", "y", horizon=2).collect()
+    assert [str(r.ds) for r in rows] == ["2023-01-01", "2023-04-01", "2023-07-01"]
+    assert all(r.yhat == 10.0 for r in rows)
+
+
+def test_forecast_many_series_and_monthly_steps(spark):
+    from credtrail.operators.forecast import forecast
+    rows = [(s, f"2023-{m:02d}", float(m * (2 if s == "a" else 1))) for s in ("a", "b")
+            for m in range(1, 7)]
+    df = spark.createDataFrame(rows, "s string, tax_period string, y double")
+    out = forecast(df, ["s"], "tax_period", "y", horizon=3).collect()
+    fut = [r for r in out if r.ds > dt.date(2023, 6, 1)]
+    assert sorted({str(r.ds) for r in fut}) == ["2023-07-01", "2023-08-01", "2023-09-01"]
+    assert len(fut) == 6
+    seas = forecast(df, ["s"], "tax_period", "y", horizon=3, method="seasonal").collect()
+    assert len(seas) == 18
