@@ -122,10 +122,14 @@ def reconcile(pr: DataFrame, g2b: DataFrame, *, tolerance: float = S.DEFAULT_TOL
 
 
 def missing_in_filings(pr: DataFrame, g2b: DataFrame) -> DataFrame:
-    """Purchase rows with no filing on the normalised key (anti join)."""
+    """Purchase rows with no filing on the normalised key (anti join).
+
+    Only existence matters, so the other side is reduced to its distinct keys
+    first (combined map-side): a key repeated a million times is one row.
+    """
     l = pr.withColumn("_k", S.normalize_invoice_number("invoice_number"))
     r = g2b.select(F.col("supplier_gstin").alias("_g"),
-                   S.normalize_invoice_number("invoice_number").alias("_rk"))
+                   S.normalize_invoice_number("invoice_number").alias("_rk")).distinct()
     cond = l["supplier_gstin"].eqNullSafe(r["_g"]) & l["_k"].eqNullSafe(r["_rk"])
     return l.join(r, cond, "left_anti").drop("_k")
 
