@@ -17,6 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from credtrail.session import ship_package
 from credtrail.functions.periods import FREQ_MONTH, FREQ_QUARTER, infer_freq, parse_tax_period
 
 Z80 = 1.2815515655446004  # two-sided 80 % normal interval
@@ -126,4 +127,5 @@ def _seasonal(hist: DataFrame, series: list[str], horizon: int, freq: str,
             out.insert(0, c, pdf[c].iloc[0])
         return out[[*series, "ds", "yhat", "yhat_lower", "yhat_upper"]]
 
+    ship_package(hist.sparkSession)
     return hist.groupBy(*series).applyInPandas(fit, schema).orderBy(*series, "ds")

@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from credtrail.operators.quantiles import exact_quantiles
+from credtrail.session import ship_package
 
 EULER_GAMMA = 0.5772156649015329
 NODE_SCHEMA = ("tree int, node int, feature int, threshold double, left int, right int, "
@@ -90,6 +91,7 @@ class IsolationForestModel:
 
     def score_column(self, spark):
         """pandas UDF: per row, sklearn-style score_samples = -2^(-E[h(x)] / c(psi))."""
+        ship_package(spark)
         arrays = spark.sparkContext.broadcast(self._arrays())
         means, stds = np.array(self.means), np.array(self.stds)
         c_psi = float(average_path_length([self.sample_size])[0])
@@ -166,6 +168,7 @@ class IsolationForest:
             out.insert(0, "tree", tree)
             return out
 
+        ship_package(df.sparkSession)
         nodes = scaled.groupBy("tree").applyInPandas(build, NODE_SCHEMA).toPandas()
         model = IsolationForestModel(nodes, means, stds, feats, psi)
         train_scores = df.withColumn("_s", model.score_column(df.sparkSession))

@@ -92,3 +92,36 @@ def write_snapshot(df, name: str = "snapshot"):
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``credtrail`` importable in Python workers (pandas UDFs pickle its functions
+    by reference): zip the package once per application into the shared checkpoint
+    folder and register it with ``addPyFile``."""
+    import os
+    import zipfile
+
+    sc = spark.sparkContext
+    if sc.applicationId in _shipped:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    root = checkpoint_root(spark)
+    if "://" in root and not root.startswith("file:"):
+        target_dir = None  # remote folder: build locally, Spark uploads it
+    else:
+        target_dir = root.replace("file:", "")
+    import tempfile
+    out_dir = target_dir or tempfile.mkdtemp(prefix="credtrail-pyfiles-")
+    os.makedirs(out_dir, exist_ok=True)
+    path = os.path.join(out_dir, f"credtrail-{uuid.uuid4().hex[:8]}.zip")
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        for dirpath, _dirs, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(dirpath, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+    sc.addPyFile(path)
+    _shipped.add(sc.applicationId)
