@@ -63,6 +63,7 @@ def load_tables(spark: SparkSession, input_dir: str, fmt: str = "parquet",
         try:
             df = read_csv(spark, path, name) if fmt == "csv" else cast_to_schema(
                 coerce_date_columns(spark.read.parquet(path)), name)
+            df.take(1)  # fail here, per table, on an unreadable file (reads one row)
             tables[name] = df
             report[name] = {"status": "loaded", "path": path}
         except Exception as e:  # one bad table does not stop the others

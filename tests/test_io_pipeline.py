@@ -25,6 +25,18 @@ def test_csv_load_order_and_missing(spark, catalog):
                               tables["vendor_master"], "vendor_id").count() == 0
 
 
+def test_unreadable_table_is_reported_and_others_load(spark, catalog):
+    d = _tmp()
+    catalog.table("vendor_master").write.parquet(f"{d}/vendor_master")
+    os.makedirs(f"{d}/gstr2b_data")
+    with open(f"{d}/gstr2b_data/part-0.parquet", "w") as fh:
+        fh.write("not a parquet file")
+    tables, report = io.load_tables(spark, d)
+    assert report["gstr2b_data"]["status"] == "error"
+    assert report["vendor_master"]["status"] == "loaded" and "vendor_master" in tables
+    assert report["purchase_register"]["status"] == "missing"
+
+
 def test_date_coercion_bad_values_null(spark):
     df = spark.createDataFrame([("2023-01-05", "x"), ("bad", "y"), (None, "z")],
                                "filing_date string, note string")
