@@ -55,3 +55,14 @@ def test_hot_path_reconciles_exactly_like_the_plain_join(spark, catalog):
     pairs = split.filter((F.col("supplier_gstin") == "99GSTHOT") & F.col("_in_left")
                          & F.col("_in_right")).count()
     assert pairs == n_hot * 40  # every hot purchase row meets every hot filing
+
+
+def test_no_hot_keys_on_ordinary_data(catalog):
+    pr, g2b = catalog.table("purchase_register"), catalog.table("gstr2b_data")
+    keys = ["supplier_gstin", "invoice_number"]
+    assert hot_key_hashes([pr.select(*keys), g2b.select(*keys)], keys) == []
+    auto = reconcile.reconcile_detail(pr, g2b, hot_keys="auto")
+    empty = reconcile.reconcile_detail(pr, g2b, hot_keys=[])
+    plain = reconcile.reconcile_detail(pr, g2b, hot_keys=None)
+    cols = ["purchase_invoice_id", "gstr2b_id", "match_status"]
+    assert _rows(auto.select(*cols)) == _rows(empty.select(*cols)) == _rows(plain.select(*cols))
