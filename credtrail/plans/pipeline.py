@@ -41,6 +41,17 @@ def compute_stages(pr: DataFrame, g2b: DataFrame, vm: DataFrame, comp: DataFrame
 
 
 RISK_MODEL, ANOMALY_MODEL = "vendor_risk_model", "anomaly_model"
+PARTITIONING = {"itc_leakage_summary": ("tax_period",)}
+
+
+def read_table(spark: SparkSession, table: str, path: str) -> DataFrame:
+    """Read a written stage table with its declared schema (and column order).
+
+    Declaring the schema keeps partition values such as ``202304`` as text
+    instead of letting partition-type inference turn them into numbers.
+    """
+    from credtrail.sources.schemas import TABLES
+    return spark.read.schema(TABLES[table]).parquet(path).select(*TABLES[table].fieldNames())
 
 
 def train_models(spark: SparkSession, output_dir: str, model_dir: str, *, seed: int = 42) -> dict:
@@ -96,7 +107,10 @@ def run_pipeline(spark: SparkSession, input_dir: str, output_dir: str, *,
     try:
         for name in ("invoice_reconciliation_results", "vendor_risk_scores",
                      "itc_leakage_summary"):
-            path = io.write_table(out[name], name, f"{output_dir}/{name}")
+            # the leakage summary is read by period (dashboard filters, forecasts):
+            # one folder per tax period lets those reads skip the other periods
+            parts = PARTITIONING.get(name)
+            path = io.write_table(out[name], name, f"{output_dir}/{name}", partition_by=parts)
             report["stages"][name] = {"path": path, "rows": spark.read.parquet(path).count()}
     finally:
         out["_detail"].unpersist()
@@ -109,7 +123,7 @@ def run_pipeline(spark: SparkSession, input_dir: str, output_dir: str, *,
     report["stages"]["vendor_risk_scores"]["model"] = (
         "random forest" if risk_model else "weighted rule")
 
-    ils = spark.read.parquet(f"{output_dir}/itc_leakage_summary")
+    ils = read_table(spark, "itc_leakage_summary", f"{output_dir}/itc_leakage_summary")
     for name, value in (("itc_forecast", "total_itc_claimed"), ("leakage_forecast", "itc_at_risk")):
         totals = forecast.period_totals(ils, "tax_period", value)
         fc = forecast.forecast(totals, [], "tax_period", "y", horizon=forecast_horizon)

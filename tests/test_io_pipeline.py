@@ -1,5 +1,7 @@
 """Sources and sinks, streaming ingest, and the end-to-end pipeline."""
 
+import contextlib
+import io as io_text
 import os
 import tempfile
 
@@ -84,6 +86,18 @@ def test_pipeline_end_to_end(spark, catalog):
     assert fc.columns == ["ds", "yhat", "yhat_lower", "yhat_upper"] and fc.count() > 4
     assert os.path.exists(f"{out}/anomalies")
     assert report["stages"]["anomalies"]["model"] == "quantile rule"
+    # the leakage table is partitioned by tax period: a period filter prunes folders
+    from credtrail.plans.pipeline import read_table
+    ils = read_table(spark, "itc_leakage_summary", f"{out}/itc_leakage_summary")
+    assert ils.columns == list(TABLES["itc_leakage_summary"].fieldNames())
+    assert ils.count() == catalog.table("itc_leakage_summary").count()
+    one = ils.filter(ils.tax_period == "1995-Q1")
+    buf = io_text.StringIO()
+    with contextlib.redirect_stdout(buf):
+        one.explain()
+    plan = buf.getvalue()
+    assert "PartitionFilters: [isnotnull(tax_period" in plan and "1995-Q1" in plan
+    assert os.path.isdir(f"{out}/itc_leakage_summary/tax_period=1995-Q1")
     # train, save, and rerun: the saved models are picked up
     from credtrail.plans.pipeline import train_models
     models = _tmp()
