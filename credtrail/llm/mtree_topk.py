@@ -220,7 +220,6 @@ def top_k(df: DataFrame, is_query: Column, k: int = K, vector: str = "embedding"
     # query blocks, one row each, for every tree
     queries = vectors.filter(is_query)
     n_blocks = max(1, -(-queries.count() // block))
-    trees = pages.filter("page = 0").select("tree")
     shared = spark.sparkContext.broadcast((pivots, pivot_ids))
 
     def bounded(batches):
@@ -240,8 +239,9 @@ def top_k(df: DataFrame, is_query: Column, k: int = K, vector: str = "embedding"
         .withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(n_blocks)).cast("int"))
     numbers = F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1)))
     tree_side = pages.withColumn("block", numbers)
-    met = trees.withColumn("block", numbers)
-    query_side = write_snapshot(blocks, "mtree-queries").join(met, "block")
+    met = pages.filter("page = 0").select(F.col("tree").alias("met_tree"), numbers.alias("met_block"))
+    asked = write_snapshot(blocks, "mtree-queries")
+    query_side = asked.join(met, asked["block"] == met["met_block"]).drop("block")
 
     def answer(key, own: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
         loaded = []
@@ -254,7 +254,7 @@ def top_k(df: DataFrame, is_query: Column, k: int = K, vector: str = "embedding"
                for s, i in search(loaded, a.vec_id, np.frombuffer(a.q, np.int64), top, k, a.bound)]
         return pd.DataFrame(out, columns=["query_id", "vec_id", "score"]).astype("int64")
 
-    found = tree_side.groupBy("tree", "block").cogroup(query_side.groupBy("tree", "block")).applyInPandas(
+    found = tree_side.groupBy("tree", "block").cogroup(query_side.groupBy("met_tree", "met_block")).applyInPandas(
         answer, "query_id long, vec_id long, score long")
     order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k) \
