@@ -1,14 +1,20 @@
-"""Null-safe full outer equi-join that stays balanced when one key is hot.
-
-A full outer sort-merge join cannot be split by AQE's skew handling, so a key
-holding a large share of the rows would land in one task. The join below
-finds such keys first (a bounded frequent-items sketch over the key hash,
-then an exact count restricted to the candidates), sends only their rows
-through inner + anti joins -- shapes whose skewed partitions AQE does split --
-and joins every other key with one plain full outer sort-merge join.
-
-Which keys take the hot path never changes the result: each key's rows go
-wholly to one path, and both paths compute the same full outer join.
+"""Null-safe full outer equi-join that stays balanced when keys are hot.
+
+A full outer sort-merge join cannot be split by AQE's skew handling, and the
+pairs of a key with many rows on both sides can outgrow its input bytes by
+orders of magnitude, which AQE does not look at. So hot keys are found first
+(exact counts of key hashes over a Bernoulli sample of the key columns), and
+their rows take a path of their own:
+
+* pairs: a grid of ``a`` x ``b`` cells per hot key, sized from the estimated
+  number of pairs. A left row goes to one of ``a`` slices and is copied to all
+  ``b`` cells of it, a right row the reverse, so each pair meets in exactly one
+  cell, and no cell has more than about ``pairs_per_cell`` pairs;
+* rows without a partner: anti joins against the other side's distinct hot
+  keys, one row a key.
+
+All other keys go through one plain full outer sort-merge join. Which keys take
+the hot path never changes the result: each key's rows go wholly to one path.
 """
 
 from __future__ import annotations
@@ -18,11 +24,17 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from credtrail.session import write_snapshot
+
 IN_LEFT, IN_RIGHT = "_in_left", "_in_right"
-_HASH = "_key_hash"
-# detection results per (left plan, right plan, keys, settings): the same
-# written tables joined again in one session reuse the answer
-_HOT_MEMO: dict[tuple, list[int]] = {}
+_HASH, _HASH2, _A, _B = "_key_hash", "_key_hash2", "_cells_a", "_cells_b"
+_SLICE_A, _SLICE_B = "_slice_a", "_slice_b"
+MIN_HOT_ROWS = 200_000       # rows of a key on both sides
+MIN_HOT_PAIRS = 20_000_000   # pairs of a key
+PAIRS_PER_CELL = 2_000_000
+SAMPLE = 0.01
+BROADCAST_KEYS = 500_000     # hot keys (32 bytes each) that are broadcast; more are joined by shuffle
+MAX_CELLS = 100_000
 
 
 def _cond(left: DataFrame, right: DataFrame, keys, rkeys) -> Column:
@@ -30,43 +42,93 @@ def _cond(left: DataFrame, right: DataFrame, keys, rkeys) -> Column:
                   [left[k].eqNullSafe(right[rk]) for k, rk in zip(keys, rkeys)])
 
 
-def hot_key_hashes(frames: list[DataFrame], keys: list[str], *,
-                   min_rows: int = 200_000, fraction: float = 0.01,
-                   support: float = 1e-3, seed: int = 17) -> list[int]:
-    """Hashes of keys estimated to hold at least ``min_rows`` rows.
+def hot_keys_of(left: DataFrame, right: DataFrame, keys: list[str], *, min_rows: int = MIN_HOT_ROWS,
+                min_pairs: int = MIN_HOT_PAIRS, fraction: float = SAMPLE, seed: int = 17,
+                pairs_per_cell: int = PAIRS_PER_CELL) -> DataFrame:
+    """(_key_hash, _cells_a, _cells_b) of the keys estimated to hold at least ``min_rows`` rows
+    or to make ``min_pairs`` pairs.
 
-    Works on a Bernoulli sample of the key columns: Spark's frequent-items
-    aggregate (memory bounded by 1/support per task, at most 1/support
-    candidates reach the driver) proposes candidates, a count over the same
-    sample estimates their sizes. A key with a third of all rows is found
-    with certainty; a missed or false hot key only changes the join path of
-    its rows, never the result.
+    The thresholds are absolute, so a key is found whatever its share of the data is. The
+    counts are an aggregation over the sampled key hashes; the list stays a table.
     """
-    hashed = reduce(lambda a, b: a.unionByName(b),
-                    [f.select(*keys).sample(fraction=fraction, seed=seed)
-                     .select(F.xxhash64(*keys).alias(_HASH)) for f in frames])
-    row = hashed.stat.freqItems([_HASH], support).first()
-    candidates = list(row[0]) if row and row[0] else []
-    if not candidates:
-        return []
-    counts = (hashed.filter(F.col(_HASH).isin(candidates))
-              .groupBy(_HASH).count()
-              .filter(F.col("count") >= min_rows * fraction)
-              .collect())
-    return sorted(r[0] for r in counts)
+    def counts(side: DataFrame, name: str) -> DataFrame:
+        return (side.select(*keys).sample(fraction=fraction, seed=seed)
+                .groupBy(F.xxhash64(*keys).alias(_HASH)).agg(F.count(F.lit(1)).alias(name)))
+
+    both = counts(left, "nl").join(counts(right, "nr"), _HASH, "full").fillna(0, ["nl", "nr"])
+    nl, nr = F.col("nl") / fraction, F.col("nr") / fraction
+    hot = both.filter(((nl + nr) >= min_rows) | (nl * nr >= min_pairs))
+    cells = F.greatest(F.ceil(nl * nr / pairs_per_cell), F.lit(1))
+    a = F.greatest(F.lit(1), F.ceil(F.sqrt(cells * nl / F.greatest(nr, F.lit(1.0)))))
+    a = F.least(a, cells)
+    return hot.select(_HASH, a.cast("int").alias(_A), F.ceil(cells / a).cast("int").alias(_B))
+
+
+def _split(left: DataFrame, right: DataFrame, keys, rkeys, hot_keys) -> dict | None:
+    """Cold and hot rows of both sides and the hot pairs; None if no key is hot."""
+    if hot_keys is None:
+        return None
+    hot = write_snapshot(hot_keys, "hot-keys")
+    size = hot.agg(F.count(F.lit(1)).alias("n"), F.sum(F.col(_A) * F.col(_B)).alias("cells")).first()
+    if not size["n"]:
+        return None
+    small = size["n"] <= BROADCAST_KEYS
+
+    def bounded(df: DataFrame) -> DataFrame:
+        return F.broadcast(df) if small else df
+
+    def tagged(df: DataFrame, own) -> DataFrame:
+        hashed = df.withColumn(_HASH, F.xxhash64(*own)).withColumn(_HASH2, F.xxhash64(F.lit(1), *own))
+        return hashed.join(bounded(hot), _HASH, "left")
+
+    def copies(n: str) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+
+    l_all, r_all = tagged(left, keys), tagged(right, rkeys)
+    extra = [_HASH, _HASH2, _A, _B]
+    l_hot, r_hot = (x.filter(F.col(_A).isNotNull()) for x in (l_all, r_all))
+    cell = [_HASH, _HASH2, _SLICE_A, _SLICE_B]
+    n_cells = int(min(max(size["cells"], 1), MAX_CELLS))
+    l_grid = l_hot.withColumn(_SLICE_A, F.pmod(F.xxhash64(*left.columns), F.col(_A)).cast("int")) \
+        .withColumn(_SLICE_B, copies(_B)).drop(_A, _B).repartition(n_cells, *cell)
+    r_grid = r_hot.withColumn(_SLICE_B, F.pmod(F.xxhash64(*right.columns), F.col(_B)).cast("int")) \
+        .withColumn(_SLICE_A, copies(_A)).drop(_A, _B).repartition(n_cells, *cell)
+    return {
+        "l_cold": l_all.filter(F.col(_A).isNull()).drop(*extra),
+        "r_cold": r_all.filter(F.col(_A).isNull()).drop(*extra),
+        "l_hot": l_hot.drop(*extra), "r_hot": r_hot.drop(*extra),
+        # 128 bits of hash stand for the key: the join keeps the partitioning of the grid
+        "pairs": l_grid.join(r_grid, cell, "inner").drop(*cell),
+        # one row a hot key
+        "l_known": bounded(l_hot.select(*keys).distinct()), "r_known": bounded(r_hot.select(*rkeys).distinct())}
+
+
+def inner_join(left: DataFrame, right: DataFrame, keys: list[str], rkeys: list[str], *,
+               min_hot_rows: int = MIN_HOT_ROWS, min_hot_pairs: int = MIN_HOT_PAIRS,
+               pairs_per_cell: int = PAIRS_PER_CELL, sample_fraction: float = SAMPLE) -> DataFrame:
+    """Inner join of ``left.keys`` = ``right.rkeys`` (no NULLs in them) whose hot keys go through
+    the grid. Column names of the two sides must be disjoint."""
+    renamed = right.select(*[F.col(rk).alias(k) for k, rk in zip(keys, rkeys)])
+    hot = hot_keys_of(left, renamed, keys, min_rows=min_hot_rows, min_pairs=min_hot_pairs,
+                      fraction=sample_fraction, pairs_per_cell=pairs_per_cell)
+    parts = _split(left, right, keys, rkeys, hot)
+    l, r = (left, right) if parts is None else (parts["l_cold"], parts["r_cold"])
+    cold = l.join(r, reduce(lambda a, b: a & b, [l[k] == r[rk] for k, rk in zip(keys, rkeys)]), "inner")
+    return cold if parts is None else cold.unionByName(parts["pairs"])
 
 
 def full_outer_join(left: DataFrame, right: DataFrame, keys: list[str], *,
-                    hot_keys="auto", min_hot_rows: int = 200_000,
-                    sample_fraction: float = 0.01) -> DataFrame:
+                    hot_keys="auto", min_hot_rows: int = MIN_HOT_ROWS,
+                    min_hot_pairs: int = MIN_HOT_PAIRS, pairs_per_cell: int = PAIRS_PER_CELL,
+                    sample_fraction: float = SAMPLE) -> DataFrame:
     """Full outer join on ``keys`` with NULL matching NULL (``<=>``).
 
     Non-key column names of the two sides must be disjoint. The output has
     the coalesced keys, all other columns, and boolean ``_in_left`` /
     ``_in_right`` flags (the merge indicator).
 
-    ``hot_keys``: ``"auto"`` to detect, ``None``/``[]`` for a plain join, or
-    an explicit list of key hashes (``xxhash64`` of the keys).
+    ``hot_keys``: ``"auto"`` to detect, ``None`` for a plain join, or a frame
+    as ``hot_keys_of`` returns it.
     """
     rkeys = [f"_r_{k}" for k in keys]
     lt = left.withColumn(IN_LEFT, F.lit(True))
@@ -84,24 +146,15 @@ def full_outer_join(left: DataFrame, right: DataFrame, keys: list[str], *,
             F.coalesce(F.col(IN_RIGHT), F.lit(False)).alias(IN_RIGHT))
 
     if isinstance(hot_keys, str) and hot_keys == "auto":
-        memo = (left.semanticHash(), right.semanticHash(), tuple(keys), min_hot_rows,
-                sample_fraction)
-        if memo not in _HOT_MEMO:
-            _HOT_MEMO[memo] = hot_key_hashes([left, right], keys, min_rows=min_hot_rows,
-                                             fraction=sample_fraction)
-        hot = _HOT_MEMO[memo]
-    else:
-        hot = list(hot_keys or [])
-    if not hot:
+        hot_keys = hot_keys_of(left, right, keys, min_rows=min_hot_rows, min_pairs=min_hot_pairs,
+                               fraction=sample_fraction, pairs_per_cell=pairs_per_cell)
+    parts = _split(lt, rt, keys, rkeys, hot_keys)
+    if parts is None:
         return finish(lt.join(rt, _cond(lt, rt, keys, rkeys), "full"))
-
-    lhash, rhash = F.xxhash64(*keys), F.xxhash64(*rkeys)
-    l_hot, l_cold = lt.filter(lhash.isin(hot)), lt.filter(~lhash.isin(hot))
-    r_hot, r_cold = rt.filter(rhash.isin(hot)), rt.filter(~rhash.isin(hot))
+    l_cold, r_cold, l_hot, r_hot = (parts[x] for x in ("l_cold", "r_cold", "l_hot", "r_hot"))
     cold = l_cold.join(r_cold, _cond(l_cold, r_cold, keys, rkeys), "full")
-    pairs = l_hot.join(r_hot, _cond(l_hot, r_hot, keys, rkeys), "inner")
-    l_only = l_hot.join(r_hot, _cond(l_hot, r_hot, keys, rkeys), "left_anti")
-    r_only = r_hot.join(l_hot, _cond(r_hot, l_hot, rkeys, keys), "left_anti")
-    hot_part = (pairs.unionByName(l_only, allowMissingColumns=True)
+    l_only = l_hot.join(parts["r_known"], _cond(l_hot, parts["r_known"], keys, rkeys), "left_anti")
+    r_only = r_hot.join(parts["l_known"], _cond(r_hot, parts["l_known"], rkeys, keys), "left_anti")
+    hot_part = (parts["pairs"].unionByName(l_only, allowMissingColumns=True)
                 .unionByName(r_only, allowMissingColumns=True))
     return finish(cold.unionByName(hot_part, allowMissingColumns=True))

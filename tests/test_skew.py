@@ -5,7 +5,7 @@ import tempfile
 from pyspark.sql import functions as F
 
 from credtrail.operators import reconcile
-from credtrail.operators.joins import hot_key_hashes
+from credtrail.operators.joins import full_outer_join, hot_keys_of
 
 
 def _skewed(catalog):
@@ -37,11 +37,10 @@ def _rows(df):
 def test_detection_finds_a_third_of_the_rows(spark, catalog):
     pr, g2b, n_hot = _skewed(catalog)
     keys = ["supplier_gstin", "invoice_number"]
-    hot = hot_key_hashes([pr.select(*keys), g2b.select(*keys)], keys,
-                         min_rows=n_hot // 2, fraction=0.05)
+    hot = hot_keys_of(pr, g2b, keys, min_rows=n_hot // 2, fraction=0.05).collect()
     want = spark.createDataFrame([("99GSTHOT", None)], "a string, b string").select(
         F.xxhash64("a", "b")).first()[0]
-    assert hot == [want]
+    assert [r["_key_hash"] for r in hot] == [want]
 
 
 def test_hot_path_reconciles_exactly_like_the_plain_join(spark, catalog):
@@ -60,9 +59,22 @@ def test_hot_path_reconciles_exactly_like_the_plain_join(spark, catalog):
 def test_no_hot_keys_on_ordinary_data(catalog):
     pr, g2b = catalog.table("purchase_register"), catalog.table("gstr2b_data")
     keys = ["supplier_gstin", "invoice_number"]
-    assert hot_key_hashes([pr.select(*keys), g2b.select(*keys)], keys) == []
+    assert hot_keys_of(pr, g2b, keys).count() == 0
     auto = reconcile.reconcile_detail(pr, g2b, hot_keys="auto")
-    empty = reconcile.reconcile_detail(pr, g2b, hot_keys=[])
     plain = reconcile.reconcile_detail(pr, g2b, hot_keys=None)
     cols = ["purchase_invoice_id", "gstr2b_id", "match_status"]
-    assert _rows(auto.select(*cols)) == _rows(empty.select(*cols)) == _rows(plain.select(*cols))
+    assert _rows(auto.select(*cols)) == _rows(plain.select(*cols))
+
+
+def test_pairs_of_a_hot_key_are_spread_over_tasks(spark):
+    """One key with 20,000 x 150 rows makes 3 million pairs: no task may hold a tenth of them."""
+    left = spark.range(20_000).select(F.lit("hot").alias("k"), F.lit(None).cast("string").alias("m"), F.col("id").alias("l"))
+    right = spark.range(150).select(F.lit("hot").alias("k"), F.lit(None).cast("string").alias("m"), F.col("id").alias("r"))
+    left = left.unionByName(left.limit(3).withColumn("k", F.lit("left only")))
+    right = right.unionByName(right.limit(2).withColumn("k", F.lit("right only")))
+    joined = full_outer_join(left, right, ["k", "m"], sample_fraction=0.2, min_hot_rows=10_000, pairs_per_cell=50_000)
+    share = joined.groupBy(F.spark_partition_id().alias("p")).count().collect()
+    total = sum(r["count"] for r in share)
+    assert total == 20_000 * 150 + 5
+    assert max(r["count"] for r in share) < 0.1 * total
+    assert joined.select("l", "r").distinct().count() == total
