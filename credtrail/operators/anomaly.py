@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from credtrail.operators.joins import IN_LEFT, IN_RIGHT
 from credtrail.operators.quantiles import exact_quantiles
 from credtrail.operators.reconcile import merge_invoices
 from credtrail.session import write_snapshot
@@ -27,33 +28,33 @@ def anomaly_frame(pr: DataFrame, g2b: DataFrame, *, hot_keys="auto") -> DataFram
     return m.withColumn("invoice_value_g2b", total.cast("double"))
 
 
-def feature_columns() -> list[Column]:
-    """The five model features as DOUBLE with NULL -> 0."""
-    return [F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in FEATURES]
-
-
+# the columns that the registered queries and their oracle compare
 OUTPUT = ["supplier_gstin", "invoice_number", "purchase_invoice_id", "gstr2b_id", "total_tax",
           "igst_g2b", "cgst_g2b", "sgst_g2b", "invoice_value_g2b"]
 
 
-def detect_anomalies(pr: DataFrame, g2b: DataFrame, model=None, *, hot_keys="auto") -> DataFrame:
-    """Flag anomalous merged rows.
+def merged_table(pr: DataFrame, g2b: DataFrame, *, columns=None, hot_keys="auto") -> DataFrame:
+    """The anomaly merge as a written table: it is read more than once, the join runs once."""
+    frame = anomaly_frame(pr, g2b, hot_keys=hot_keys).drop(IN_LEFT, IN_RIGHT)
+    return write_snapshot(frame.select(*columns) if columns else frame, "anomaly-merge")
+
 
-    Without a model: score 0, flag total_tax above its 95th or below its 5th
-    percentile (exact, NULLs skipped; a NULL total_tax is not flagged).
-    With an isolation-forest model: its decision score and flag.
-    """
-    frame = anomaly_frame(pr, g2b, hot_keys=hot_keys).select(*OUTPUT)
-    if model is not None:
-        return model.transform(frame)
-    # the thresholds need a full pass before the flags can be computed: write
-    # the merge once to the checkpoint folder instead of joining twice
-    frame = write_snapshot(frame, "anomaly-merge")
+def flag_by_quantiles(frame: DataFrame) -> DataFrame:
+    """Score 0; flags total_tax above its 95th or below its 5th percentile (exact, NULLs
+    skipped; a NULL total_tax is not flagged)."""
     lo, hi = exact_quantiles(frame, "total_tax", [LOW_Q, HIGH_Q])
     t = F.col("total_tax").cast("double")
     flag = F.coalesce((t > F.lit(hi)) | (t < F.lit(lo)), F.lit(False)) if lo is not None \
         else F.lit(False)
-    return frame.select(*OUTPUT, F.lit(0.0).alias("anomaly_score"), flag.alias("is_anomaly"))
+    return frame.withColumn("anomaly_score", F.lit(0.0)).withColumn("is_anomaly", flag)
+
+
+def detect_anomalies(pr: DataFrame, g2b: DataFrame, model=None, *, columns=None,
+                     hot_keys="auto") -> DataFrame:
+    """The merged rows (all columns, or ``columns``) with anomaly_score and is_anomaly: from an
+    isolation-forest model if given, else by the quantile rule."""
+    frame = merged_table(pr, g2b, columns=columns, hot_keys=hot_keys)
+    return model.transform(frame) if model is not None else flag_by_quantiles(frame)
 
 
 def anomaly_summary(flagged: DataFrame) -> DataFrame:
@@ -61,10 +62,24 @@ def anomaly_summary(flagged: DataFrame) -> DataFrame:
                        F.count(F.lit(1)).alias("rows"))
 
 
+def _forest(trees, sample_size, contamination, seed):
+    from credtrail.operators.isoforest import IsolationForest
+    return IsolationForest(trees=trees, sample_size=sample_size, contamination=contamination,
+                           seed=seed, features=FEATURES)
+
+
 def train_isolation_forest(pr: DataFrame, g2b: DataFrame, *, trees: int = TREES,
                            sample_size: int = SAMPLE_SIZE, contamination: float = CONTAMINATION,
                            seed: int = SEED, hot_keys="auto"):
-    from credtrail.operators.isoforest import IsolationForest
-    frame = anomaly_frame(pr, g2b, hot_keys=hot_keys).select(*OUTPUT)
-    return IsolationForest(trees=trees, sample_size=sample_size, contamination=contamination,
-                           seed=seed, features=FEATURES).fit(frame)
+    frame = merged_table(pr, g2b, columns=OUTPUT, hot_keys=hot_keys)
+    return _forest(trees, sample_size, contamination, seed).fit(frame)
+
+
+def train_and_detect(pr: DataFrame, g2b: DataFrame, *, trees: int = TREES,
+                     sample_size: int = SAMPLE_SIZE, contamination: float = CONTAMINATION,
+                     seed: int = SEED, columns=None, hot_keys="auto"):
+    """(model, flagged rows): one merge join and one scoring pass for both."""
+    frame = merged_table(pr, g2b, columns=columns, hot_keys=hot_keys)
+    forest = _forest(trees, sample_size, contamination, seed)
+    model, scored = forest.fit_scored(frame, [*OUTPUT])
+    return model, model.flag(scored)

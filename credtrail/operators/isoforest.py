@@ -1,10 +1,12 @@
 """Isolation forest (Liu, Ting & Zhou, 2008) as grouped Spark jobs.
 
 * scaling: mean / population std from one aggregation;
-* sampling: each row draws a tree id and a rank from hashes of its key, so
-  the subsample is the same however the data is partitioned or recomputed;
-  a window keeps the ``sample_size`` lowest ranks per tree, so every tree's
-  group is bounded by ``sample_size`` rows;
+* sampling: every tree draws min(``sample_size``, n) rows without replacement,
+  whatever n is: a row has a rank for each tree, a hash of its key and the tree,
+  and the lowest ranks of a tree are its sample, so it is the same however the
+  data is partitioned or recomputed. (256 rows a tree are the algorithm's own
+  default.) Above ``trees * sample_size`` rows the trees draw from a uniform pool
+  of about that many, so the number of ranks doesn't grow with the data;
 * fitting: ``groupBy(tree).applyInPandas`` grows one random tree per group
   and returns its nodes (at most 2 * sample_size - 1 per tree);
 * scoring: the node table (trees x nodes, bounded) is broadcast to a pandas
@@ -24,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from credtrail.operators.quantiles import exact_quantiles
-from credtrail.session import ship_package
+from credtrail.session import ship_package, write_snapshot
 
 EULER_GAMMA = 0.5772156649015329
 NODE_SCHEMA = ("tree int, node int, feature int, threshold double, left int, right int, "
@@ -74,14 +76,16 @@ class IsolationForestModel:
         self.features, self.sample_size, self.offset = list(features), sample_size, offset
 
     def _arrays(self):
-        trees = int(self.nodes["tree"].max()) + 1
+        # only trees that exist count: their ids become 0, 1, ... without gaps
+        ids, t = np.unique(self.nodes["tree"].to_numpy(), return_inverse=True)
+        trees = len(ids)
         width = int(self.nodes["node"].max()) + 1
         feat = np.full((trees, width), -1, dtype=np.int64)
         thr = np.zeros((trees, width))
         left = np.full((trees, width), -1, dtype=np.int64)
         right = np.full((trees, width), -1, dtype=np.int64)
         size = np.zeros((trees, width))
-        t, n = self.nodes["tree"].to_numpy(), self.nodes["node"].to_numpy()
+        n = self.nodes["node"].to_numpy()
         feat[t, n] = self.nodes["feature"].to_numpy()
         thr[t, n] = self.nodes["threshold"].to_numpy()
         left[t, n] = self.nodes["left"].to_numpy()
@@ -119,13 +123,19 @@ class IsolationForestModel:
 
         return score(*[F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in self.features])
 
-    def transform(self, df: DataFrame) -> DataFrame:
-        s = self.score_column(df.sparkSession)
-        scored = df.withColumn("_score_samples", s)
+    def score(self, df: DataFrame) -> DataFrame:
+        """``df`` with ``_score_samples``."""
+        return df.withColumn("_score_samples", self.score_column(df.sparkSession))
+
+    def flag(self, scored: DataFrame) -> DataFrame:
+        """Decision score and flag from ``_score_samples`` and the fitted offset."""
         decision = F.col("_score_samples") - F.lit(self.offset)
         return (scored.withColumn("anomaly_score", decision)
                 .withColumn("is_anomaly", decision < 0).drop("_score_samples"))
 
+    def transform(self, df: DataFrame) -> DataFrame:
+        return self.flag(self.score(df))
+
 
 class IsolationForest:
     def __init__(self, trees=100, sample_size=256, contamination=0.1, seed=42, features=()):
@@ -133,6 +143,33 @@ class IsolationForest:
         self.contamination, self.seed, self.features = contamination, seed, list(features)
 
     def fit(self, df: DataFrame, key_cols: list[str] | None = None) -> IsolationForestModel:
+        return self.fit_scored(df, key_cols)[0]
+
+    def fit_scored(self, df: DataFrame, key_cols: list[str] | None = None):
+        """(model, ``df`` with ``_score_samples`` as a written table): one scoring pass serves
+        the threshold and later the flags. ``df`` is read several times: pass a table."""
+        model = self._grow_trees(df, key_cols)
+        scored = write_snapshot(model.score(df), "forest-scores")
+        model.offset = exact_quantiles(scored, "_score_samples", [self.contamination])[0]
+        return model, scored
+
+    def sample(self, x: DataFrame, row_key, n: int) -> DataFrame:
+        """(tree, _rank, row columns): min(sample_size, n) rows for each tree."""
+        psi, pool = min(self.sample_size, n), self.trees * self.sample_size
+        top = 1 << 30
+
+        def draw(*salt):
+            return F.pmod(F.xxhash64(row_key, *salt), F.lit(top))
+
+        in_pool = x.filter(draw(F.lit(self.seed)) < min(1.0, 2.0 * pool / n) * top)
+        ranked = in_pool.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(self.trees - 1)))) \
+            .withColumn("_rank", draw(F.lit(self.seed + 1), F.col("tree")))
+        # four times the rows a tree needs reach its window (fewer than needed: about never)
+        ranked = ranked.filter(F.col("_rank") < min(1.0, 4.0 * psi / min(n, 2 * pool)) * top)
+        w = Window.partitionBy("tree").orderBy("_rank", row_key)
+        return ranked.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= psi)
+
+    def _grow_trees(self, df: DataFrame, key_cols: list[str] | None) -> IsolationForestModel:
         feats = self.features
         x = df.select(*(key_cols or df.columns)).withColumns(
             {c: F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in feats})
@@ -141,18 +178,10 @@ class IsolationForest:
                       F.count(F.lit(1)).alias("n")).first()
         means = [stats[f"m{i}"] or 0.0 for i in range(len(feats))]
         stds = [(stats[f"s{i}"] or 0.0) or 1.0 for i in range(len(feats))]
-        psi = int(min(self.sample_size, max(stats["n"], 1)))
+        n = max(stats["n"], 1)
+        psi = int(min(self.sample_size, n))
         row_key = F.xxhash64(*[F.col(c) for c in (key_cols or df.columns)])
-        # Bernoulli pre-filter keeps ~4 * trees * psi rows; per tree the window
-        # keeps the psi lowest ranks (each group holds <= psi rows afterwards).
-        keep = min(1.0, 4.0 * self.trees * psi / max(stats["n"], 1))
-        u = F.pmod(F.xxhash64(row_key, F.lit(self.seed)), F.lit(1 << 30)) / float(1 << 30)
-        sampled = (x.withColumn("_u", u).filter(F.col("_u") < keep)
-                   .withColumn("tree", F.pmod(F.xxhash64(row_key, F.lit(self.seed + 1)),
-                                              F.lit(self.trees)).cast("int"))
-                   .withColumn("_rank", F.xxhash64(row_key, F.lit(self.seed + 2))))
-        w = Window.partitionBy("tree").orderBy("_rank")
-        sampled = sampled.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= psi)
+        sampled = self.sample(x, row_key, n)
         scaled = sampled.select("tree", "_rank", *[((F.col(c) - means[i]) / stds[i]).alias(c)
                                                    for i, c in enumerate(feats)])
         max_depth = int(math.ceil(math.log2(max(psi, 2))))
@@ -170,7 +199,4 @@ class IsolationForest:
 
         ship_package(df.sparkSession)
         nodes = scaled.groupBy("tree").applyInPandas(build, NODE_SCHEMA).toPandas()
-        model = IsolationForestModel(nodes, means, stds, feats, psi)
-        train_scores = df.withColumn("_s", model.score_column(df.sparkSession))
-        model.offset = exact_quantiles(train_scores, "_s", [self.contamination])[0]
-        return model
+        return IsolationForestModel(nodes, means, stds, feats, psi)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from credtrail.functions import scalars as S
 from credtrail.operators.joins import IN_LEFT
+from credtrail.session import write_snapshot
 
 FEATURES = ["gst_status_score", "total_invoices", "unmatched_count", "avg_tax_diff",
             "total_tax_diff", "std_tax_diff", "mismatch_rate", "total_filings", "late_count",
@@ -105,47 +106,59 @@ def gaussian_noise(key: Column, seed: int, sd: float = NOISE_SD) -> Column:
     return F.sqrt(F.lit(-2.0) * F.log(u1)) * F.cos(F.lit(6.283185307179586) * u2) * sd
 
 
-def with_synthetic_target(features: DataFrame, seed: int = 42) -> DataFrame:
-    """Training target: clip(rule score + N(0, 5) noise, 0, 100)."""
+def with_synthetic_target(features: DataFrame, seed: int = 42, noise_sd: float = NOISE_SD) -> DataFrame:
+    """Training target: clip(rule score + N(0, noise_sd) noise, 0, 100)."""
     raw = (F.col("mismatch_rate") * W_MISMATCH + F.col("filing_delay_rate") * W_DELAY
-           + F.col("gst_status_score") * W_STATUS + gaussian_noise(F.col("vendor_id"), seed))
+           + F.col("gst_status_score") * W_STATUS + gaussian_noise(F.col("vendor_id"), seed, noise_sd))
     return features.withColumn("synthetic_risk", S.clip(raw, 0.0, 100.0))
 
 
+# The learner's limits, as parameters: 30 is the greatest depth the library grows (its default
+# of 5 would cut the trees); 256 bins put a split between any two values of up to 256 distinct
+# ones, and at 256 quantiles of more.
+MAX_DEPTH, MAX_BINS = 30, 256
+
+
+def in_test(seed: int = 42, test_fraction: float = 0.2) -> Column:
+    """The held-out fifth of the vendors, by a hash of the id (stable under repartitioning)."""
+    return F.pmod(F.xxhash64(F.col("vendor_id"), F.lit(seed)), F.lit(1000)) < int(test_fraction * 1000)
+
+
 def train_risk_model(features: DataFrame, *, seed: int = 42, num_trees: int = 100,
-                     max_depth: int = 12, test_fraction: float = 0.2):
-    """Random forest on the 16 features; returns (PipelineModel, test MSE).
+                     max_depth: int = MAX_DEPTH, max_bins: int = MAX_BINS, test_fraction: float = 0.2):
+    """Random forest on the 16 features; returns (PipelineModel, scored).
 
-    The split is a hash of vendor_id (stable under repartitioning); training
-    is MLlib's distributed tree learner.
+    Training is MLlib's distributed tree learner. ``scored`` has every vendor's features,
+    ``synthetic_risk``, ``prediction`` and ``in_test``; ``held_out_mse(scored)`` is the held-out
+    error. The features are written as a table first: the learner reads them many times.
     """
     from pyspark.ml import Pipeline
-    from pyspark.ml.evaluation import RegressionEvaluator
     from pyspark.ml.feature import VectorAssembler
     from pyspark.ml.regression import RandomForestRegressor
 
-    data = with_synthetic_target(features, seed)
-    bucket = F.pmod(F.xxhash64(F.col("vendor_id"), F.lit(seed)), F.lit(1000))
-    train = data.filter(bucket >= int(test_fraction * 1000))
-    test = data.filter(bucket < int(test_fraction * 1000))
+    data = write_snapshot(with_synthetic_target(features, seed)
+                          .withColumn("in_test", in_test(seed, test_fraction)), "risk-features")
     pipe = Pipeline(stages=[
         VectorAssembler(inputCols=FEATURES, outputCol="features_vec"),
         RandomForestRegressor(featuresCol="features_vec", labelCol="synthetic_risk",
-                              numTrees=num_trees, maxDepth=max_depth, seed=seed,
+                              numTrees=num_trees, maxDepth=max_depth, maxBins=max_bins, seed=seed,
                               featureSubsetStrategy="all", subsamplingRate=1.0)])
-    model = pipe.fit(train)
-    mse = None
-    if not test.isEmpty():
-        mse = RegressionEvaluator(labelCol="synthetic_risk", predictionCol="prediction",
-                                  metricName="mse").evaluate(model.transform(test))
-    return model, mse
+    model = pipe.fit(data.filter("not in_test"))
+    return model, model.transform(data)
+
+
+def held_out_mse(scored: DataFrame) -> DataFrame:
+    """One row: mean squared error over the held-out vendors (NULL without any)."""
+    error = F.col("synthetic_risk") - F.col("prediction")
+    return scored.filter("in_test").agg(F.avg(error * error).alias("mse"))
 
 
 def score_vendors(features: DataFrame, model=None) -> DataFrame:
     """vendor_risk_score from the model if given, else the weighted rule; plus category."""
-    if model is not None:
-        scored = model.transform(features).withColumn("vendor_risk_score", F.col("prediction"))
-        scored = scored.drop("prediction", "features_vec")
+    if model is not None or "prediction" in features.columns:  # scored already, or score now
+        scored = features if "prediction" in features.columns else model.transform(features)
+        scored = scored.withColumn("vendor_risk_score", F.col("prediction"))
+        scored = scored.drop("prediction", "features_vec", "synthetic_risk", "in_test")
     else:
         scored = features.withColumn("vendor_risk_score", rule_score(features))
     return scored.withColumn("risk_category", S.risk_category("vendor_risk_score")) \
