@@ -26,10 +26,9 @@ EPOCH = "1970-01-01"
 
 def period_totals(df: DataFrame, period_col: str, value_col: str,
                   series_cols: list[str] | None = None) -> DataFrame:
-    """SUM(value) per period label (and series), as ``y`` DOUBLE; ordered by period."""
+    """SUM(value) per period label (and series), as ``y`` DOUBLE, in no order."""
     keys = list(series_cols or []) + [period_col]
-    return (df.groupBy(*keys).agg(F.sum(value_col).cast("double").alias("y"))
-            .orderBy(*[F.col(k) for k in keys]))
+    return df.groupBy(*keys).agg(F.sum(value_col).cast("double").alias("y"))
 
 
 def _future(last_ds, freq, k):
@@ -77,7 +76,8 @@ def forecast(df: DataFrame, series_cols: list[str], period_col: str, value_col:
     seeds = fitted.filter(F.col("ds") == F.col("_last")).dropDuplicates(series)
     if freq is None:
         # the labels' frequency: one row from a global bool_or aggregation
-        seeds = seeds.crossJoin(infer_freq(df, period_col).withColumnRenamed("freq", "_fq"))
+        # (from the totals, not the facts), sent to every task
+        seeds = seeds.crossJoin(F.broadcast(infer_freq(df, period_col).withColumnRenamed("freq", "_fq")))
     else:
         seeds = seeds.withColumn("_fq", F.lit(freq))
     steps = seeds.select(*series, "_a", "_b", "_se", "_last", "_fq",

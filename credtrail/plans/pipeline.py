@@ -4,7 +4,8 @@ Each stage is a DataFrame function; the runner writes every stage output as
 a table (Parquet, cast to the declared schema) and later stages read the
 written table, which cuts lineage at every boundary. Only one big shuffle
 join happens (the reconciliation); leakage and vendor features aggregate its
-persisted detail instead of joining the results back to the register.
+written detail instead of joining the results back to the register. A missing
+or unreadable input counts as an empty table and is reported.
 """
 
 from __future__ import annotations
@@ -12,32 +13,33 @@ from __future__ import annotations
 import datetime as dt
 import json
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from credtrail.operators import leakage, reconcile, risk
+from credtrail.session import temporary_snapshots, write_snapshot
 
 
 def compute_stages(pr: DataFrame, g2b: DataFrame, vm: DataFrame, comp: DataFrame, *,
                    as_of=None, risk_model=None, hot_keys="auto") -> dict[str, DataFrame]:
-    """Reconciliation results, leakage summary and risk scores as lazy frames.
+    """Reconciliation results, leakage summary and risk scores.
 
-    The reconciliation detail is persisted (memory, spilling to disk) while
-    the three outputs are written; Spark recomputes lost blocks from lineage.
+    The reconciliation detail is written as a table first (so the join runs
+    once and a lost executor costs no more than reading it again), the ids of
+    the results as well; the other frames are lazy over the detail.
     """
     # keep only what the three outputs read: ids, keys, the purchase side's
     # vendor / period / date / tax, and the classification
     needed = ["supplier_gstin", "invoice_number", "purchase_invoice_id", "gstr2b_id",
               "vendor_id", "tax_period_pr", "invoice_date_pr", "total_tax", "match_status",
               "mismatch_type", "tax_difference", "_in_left", "_in_right"]
-    detail = reconcile.reconcile_detail(pr, g2b, hot_keys=hot_keys).select(*needed).persist(
-        StorageLevel.MEMORY_AND_DISK)
+    detail = write_snapshot(reconcile.reconcile_detail(pr, g2b, hot_keys=hot_keys).select(*needed),
+                            "reconciliation-detail")
     irr = reconcile.results_from_detail(detail, as_of=as_of, with_ids=True)
     ils = leakage.itc_leakage_from_detail(detail, as_of=as_of)
     feats = risk.vendor_features_from_detail(vm, detail, comp, pr)
     vrs = risk.risk_table(risk.score_vendors(feats, risk_model))
     return {"invoice_reconciliation_results": irr, "itc_leakage_summary": ils,
-            "vendor_risk_scores": vrs, "_detail": detail, "_features": feats}
+            "vendor_risk_scores": vrs, "_features": feats}
 
 
 RISK_MODEL, ANOMALY_MODEL = "vendor_risk_model", "anomaly_model"
@@ -68,15 +70,42 @@ def train_models(spark: SparkSession, output_dir: str, model_dir: str, *, seed:
           "invoice_reconciliation_results")}
     feats = risk.vendor_features(t["vendor_master"], t["invoice_reconciliation_results"],
                                  t["vendor_filing_compliance"], t["purchase_register"])
-    model, mse = risk.train_risk_model(feats, seed=seed)
+    model, scored = risk.train_risk_model(feats, seed=seed)
+    mse = risk.held_out_mse(scored).first()["mse"]
     io.save_model(model, f"{model_dir}/{RISK_MODEL}")
     iforest = anomaly.train_isolation_forest(t["purchase_register"], t["gstr2b_data"], seed=seed)
     io.save_model(iforest, f"{model_dir}/{ANOMALY_MODEL}")
     return {"risk_model_mse": mse, "anomaly_threshold": iforest.offset}
 
 
+def stage_inputs(spark: SparkSession, input_dir: str, output_dir: str, *, fmt: str = "parquet",
+                 day_first: bool = False) -> tuple[dict[str, DataFrame], dict]:
+    """Write the four input tables to ``output_dir`` and read them back.
+
+    A table that is missing, or of which any file can't be read, becomes an empty table with the
+    declared schema; the others go on. The report names the status and the dates that were lost.
+    """
+    from credtrail.sources import io
+
+    raw: dict[str, DataFrame] = {}
+    _, report = io.load_tables(spark, input_dir, fmt=fmt, names=io.INPUT_ORDER, day_first=day_first, raw=raw)
+    staged = {}
+    for name in io.INPUT_ORDER:
+        path = f"{output_dir}/{name}"
+        if report[name]["status"] == "loaded":
+            try:
+                report[name] |= io.write_staged(raw[name], name, path, day_first=day_first)
+            except Exception as e:  # one bad file does not stop the others
+                report[name] |= {"status": "error", "error": str(e)[:500]}
+        if report[name]["status"] != "loaded":
+            io.write_table(io.empty_table(spark, name), name, path)
+        staged[name] = read_table(spark, name, path)
+    return staged, report
+
+
 def run_pipeline(spark: SparkSession, input_dir: str, output_dir: str, *,
                  as_of=None, input_format: str = "parquet", forecast_horizon: int = 4,
+                 forecast_method: str = "seasonal", day_first: bool = False,
                  model_dir: str | None = None) -> dict:
     """Run every stage over the input tables in ``input_dir``; write to ``output_dir``.
 
@@ -84,36 +113,33 @@ def run_pipeline(spark: SparkSession, input_dir: str, output_dir: str, *,
     gstr2b_data, vendor_filing_compliance) as Parquet folders or CSV files.
     Saved models under ``model_dir`` are used when present; otherwise the
     risk score is the weighted rule and anomalies use the quantile rule.
-    Returns a per-stage report (row counts, written paths).
+    Forecasts fit a trend with yearly seasonality unless ``forecast_method`` is
+    "trend". Returns a per-stage report (row counts, written paths).
     """
+    with temporary_snapshots(spark):
+        return _run(spark, input_dir, output_dir, as_of or dt.date.today(), input_format,
+                    forecast_horizon, forecast_method, day_first, model_dir)
+
+
+def _run(spark, input_dir, output_dir, as_of, input_format, horizon, method, day_first, model_dir) -> dict:
     from credtrail.operators import anomaly, forecast
     from credtrail.sources import io
 
     risk_model = io.load_model(f"{model_dir}/{RISK_MODEL}") if model_dir else None
     anomaly_model = (io.load_model(f"{model_dir}/{ANOMALY_MODEL}", kind="iforest")
                      if model_dir else None)
-
-    as_of = as_of or dt.date.today()
     report: dict = {"as_of": str(as_of), "stages": {}}
-    tables, load_report = io.load_tables(spark, input_dir, fmt=input_format)
-    report["stages"]["load"] = load_report
-    staged = {}
-    for name, df in tables.items():
-        staged[name] = spark.read.parquet(io.write_table(df, name, f"{output_dir}/{name}"))
+    staged, report["stages"]["load"] = stage_inputs(spark, input_dir, output_dir, fmt=input_format,
+                                                    day_first=day_first)
 
     out = compute_stages(staged["purchase_register"], staged["gstr2b_data"],
                          staged["vendor_master"], staged["vendor_filing_compliance"],
                          as_of=as_of, risk_model=risk_model)
-    try:
-        for name in ("invoice_reconciliation_results", "vendor_risk_scores",
-                     "itc_leakage_summary"):
-            # the leakage summary is read by period (dashboard filters, forecasts):
-            # one folder per tax period lets those reads skip the other periods
-            parts = PARTITIONING.get(name)
-            path = io.write_table(out[name], name, f"{output_dir}/{name}", partition_by=parts)
-            report["stages"][name] = {"path": path, "rows": spark.read.parquet(path).count()}
-    finally:
-        out["_detail"].unpersist()
+    for name in ("invoice_reconciliation_results", "vendor_risk_scores", "itc_leakage_summary"):
+        # the leakage summary is read by period (dashboard filters, forecasts):
+        # one folder per tax period lets those reads skip the other periods
+        path = io.write_table(out[name], name, f"{output_dir}/{name}", partition_by=PARTITIONING.get(name))
+        report["stages"][name] = {"path": path, "rows": read_table(spark, name, path).count()}
 
     anomalies = anomaly.detect_anomalies(staged["purchase_register"], staged["gstr2b_data"],
                                          model=anomaly_model)
@@ -126,9 +152,9 @@ def run_pipeline(spark: SparkSession, input_dir: str, output_dir: str, *,
     ils = read_table(spark, "itc_leakage_summary", f"{output_dir}/itc_leakage_summary")
     for name, value in (("itc_forecast", "total_itc_claimed"), ("leakage_forecast", "itc_at_risk")):
         totals = forecast.period_totals(ils, "tax_period", value)
-        fc = forecast.forecast(totals, [], "tax_period", "y", horizon=forecast_horizon)
+        fc = forecast.forecast(totals, [], "tax_period", "y", horizon=horizon, method=method)
         io.write_forecast_csv(fc, f"{output_dir}/{name}")
-        report["stages"][name] = {"path": f"{output_dir}/{name}"}
+        report["stages"][name] = {"path": f"{output_dir}/{name}", "method": method}
     return report
 
 

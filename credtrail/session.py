@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import warnings
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -72,15 +74,36 @@ def checkpoint_root(spark: SparkSession) -> str:
                 "spark.checkpoint.dir is not set; point it at a shared folder "
                 "(HDFS/S3/ABFS) that every executor can reach")
         configured = tempfile.mkdtemp(prefix="credtrail-ckpt-")
+        warnings.warn(f"spark.checkpoint.dir is not set: local mode writes to {configured}", stacklevel=2)
         spark.conf.set("spark.checkpoint.dir", configured)
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(configured)
     return configured.rstrip("/")
 
 
+_open_scopes: list[list[str]] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint root for written tables."""
-    return f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    if _open_scopes:
+        _open_scopes[-1].append(path)
+    return path
+
+
+@contextmanager
+def temporary_snapshots(spark: SparkSession):
+    """Snapshots that are made inside are deleted at the end: for runs that write their results
+    elsewhere before they leave the block."""
+    _open_scopes.append([])
+    try:
+        yield
+    finally:
+        hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+        for path in _open_scopes.pop():
+            p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(hadoop).delete(p, True)
 
 
 def write_snapshot(df, name: str = "snapshot"):
