@@ -192,8 +192,15 @@ def with_ctes(*blocks: str, body: str) -> str:
     return "WITH " + ",".join(b.strip("\n") for b in blocks) + "\n" + body
 
 
+def _after(head: str, body: str) -> str:
+    """``body`` may start with further CTEs ("name AS (...), ...")."""
+    if body.lstrip().upper().startswith("SELECT"):
+        return head + body
+    return head.rstrip("\n") + ",\n" + body
+
+
 def base(body: str) -> str:
-    return with_ctes(ADAPTER, body=body)
+    return _after(with_ctes(ADAPTER, body=""), body)
 
 
 def recon(body: str) -> str:
@@ -206,10 +213,7 @@ def leak(body: str) -> str:
 
 def full(body: str) -> str:
     """All stage CTEs; ``body`` may start with further CTEs ("name AS (...), ...")."""
-    head = with_ctes(ADAPTER, RECON, LEAKAGE, FEATURES, body="")
-    if body.lstrip().upper().startswith("SELECT"):
-        return head + body
-    return head.rstrip("\n") + ",\n" + body
+    return _after(with_ctes(ADAPTER, RECON, LEAKAGE, FEATURES, body=""), body)
 
 
 def trim_ws(c: str) -> str:
@@ -229,7 +233,13 @@ def parse_period(c: str) -> str:
         f"WHEN regexp_full_match({v}, '[0-9]{{8}}') THEN CAST(try_strptime({v}, '%Y%m%d') AS DATE) "
         f"WHEN regexp_matches({v}, '^[0-9]{{4}}-[0-9]{{1,2}}-[0-9]{{1,2}}([ T].*)?$') "
         f"THEN CAST(try_strptime(regexp_extract({v}, '^([0-9]{{4}}-[0-9]{{1,2}}-[0-9]{{1,2}})', 1), '%Y-%m-%d') AS DATE) "
-        "ELSE NULL END")
+        + "".join(f"WHEN regexp_full_match({v}, '{shape}') THEN CAST(try_strptime({v}, '{layout}') AS DATE) "
+                  for shape, layout in (
+                      ("[0-9]{4}/[0-9]{1,2}/[0-9]{1,2}", "%Y/%m/%d"), ("[0-9]{4}/[0-9]{1,2}", "%Y/%m"),
+                      ("[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}", "%m/%d/%Y"), ("[0-9]{1,2}/[0-9]{4}", "%m/%Y"),
+                      ("[A-Za-z]{3} [0-9]{4}", "%b %Y"), ("[A-Za-z]{3}-[0-9]{4}", "%b-%Y"),
+                      ("[A-Za-z]{4,9} [0-9]{4}", "%B %Y"), ("[0-9]{1,2} [A-Za-z]{3} [0-9]{4}", "%d %b %Y")))
+        + "ELSE NULL END")
 
 
 J2 = r"""

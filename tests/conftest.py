@@ -1,5 +1,6 @@
 import os
 import sys
+import tempfile
 
 import pytest
 
@@ -11,7 +12,8 @@ SF_SMALL = "/root/testdata/sf0.001"
 @pytest.fixture(scope="session")
 def spark():
     from credtrail.session import get_session
-    s = get_session("credtrail-tests", master="local[*]", shuffle_partitions=8)
+    s = get_session("credtrail-tests", master="local[*]", shuffle_partitions=8,
+                    conf={"spark.checkpoint.dir": tempfile.mkdtemp(prefix="credtrail-tests-")})
     yield s
     s.stop()
 
