@@ -28,12 +28,6 @@ def pk_profile(df: DataFrame, table: str) -> DataFrame:
         .alias("null_key_rows"))
 
 
-def pk_violations(df: DataFrame, table: str) -> DataFrame:
-    """Key values that occur more than once, with their row counts."""
-    keys = list(PRIMARY_KEYS[table])
-    return df.groupBy(*keys).count().filter(F.col("count") > 1)
-
-
 def fk_orphans(child: DataFrame, column: str, parent: DataFrame, parent_column: str) -> DataFrame:
     """Child rows whose non-NULL foreign key has no parent row (anti join)."""
     p = parent.select(F.col(parent_column).alias("_pk")).distinct()

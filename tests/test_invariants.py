@@ -54,7 +54,8 @@ def test_risk_model_trains(catalog):
                                  catalog.table("invoice_reconciliation_results"),
                                  catalog.table("vendor_filing_compliance"),
                                  catalog.table("purchase_register"))
-    model, mse = risk.train_risk_model(feats, num_trees=10, max_depth=4)
+    model, scored = risk.train_risk_model(feats, num_trees=10, max_depth=4)
+    assert scored.filter("in_test").isEmpty() or risk.held_out_mse(scored).first()["mse"] >= 0
     out = risk.score_vendors(feats, model)
     assert out.count() == feats.count()
     assert out.filter(F.col("vendor_risk_score").isNull()).count() == 0
