@@ -13,9 +13,13 @@ The job, each step a written table:
 3. sub-keys that only one class has can't meet anyone: only the others are paired to table keys;
 4. each class is compared with the smallest class of each of its buckets (a star, not all pairs),
    exactly, on the full sets, and the links give components;
-5. buckets that still hold several components are settled: their pairs across components, of
-   sizes that can reach the threshold, are compared as well. Pairs inside a component can't change
-   the result and are left out, so no bucket is written out as all pairs. No bucket is capped.
+5. buckets that still hold several components are settled: their pairs across components are
+   compared as well, but only those that can be links. For that, every document left in such a
+   bucket gets the number of its shingles that occur in another component there, which bounds
+   what it can share with any of them; who can't reach the threshold with it leaves, as long as a tenth
+   does, and pairs are bounded in the same way (and by their sizes). The bounds are exact, so no
+   link is lost; pairs inside a component can't change the result; no bucket is capped or written
+   out as all pairs.
 
 Joins read written tables on both sides, so that adaptive execution can split a hot key.
 
@@ -107,6 +111,27 @@ def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             .select("a", "b"))
 
 
+def _unsettled(rows: DataFrame) -> DataFrame:
+    """The rows (key, id, n, component, ...) of the keys with several components."""
+    keys = write_snapshot(
+        rows.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+        .filter("low <> high").select("key"), "near-open")
+    return write_snapshot(rows.join(keys, "key"), "near-unsettled")
+
+
+def _able(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(id, most) of the documents of ``rows`` (id, n, component, ...) that may reach the threshold
+    with one of another component; ``most``: their shingles that occur in another component."""
+    ids = write_snapshot(rows.select("id", "n", "component").distinct(), "near-left")
+    each = write_snapshot(ids.join(sets, "id").select("id", "component", F.explode("shingles").alias("shingle")),
+                          "near-left-shingles")
+    common = write_snapshot(
+        each.groupBy("shingle").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+        .filter("low <> high").select("shingle"), "near-common")
+    most = write_snapshot(each.join(common, "shingle").groupBy("id").agg(F.count("*").alias("most")), "near-most")
+    return ids.join(most, "id").filter(f"100 * most >= {percent} * n").select("id", "most")
+
+
 def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) of every row of ``docs`` (doc_id, text);
     documents are linked if 100 * shared shingles >= percent * all shingles of the two."""
@@ -117,8 +142,9 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     classes = write_snapshot(known.groupBy("set_id").agg(F.min("doc_id").alias("id")), "near-classes")
     firsts = known.join(classes.select(F.col("id").alias("doc_id"), F.col("set_id").alias("class_set")), "doc_id") \
         .filter("set_id = class_set").dropDuplicates(["set_id"])
-    subs = write_snapshot(firsts.select(F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"),
-                                        F.posexplode("keys").alias("term", "sub")), "near-subkeys")
+    firsts = write_snapshot(firsts.select(F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"), "keys"),
+                            "near-firsts")
+    subs = firsts.select("id", "n", F.posexplode("keys").alias("term", "sub"))
 
     shared = write_snapshot(subs.groupBy("sub").agg(F.count("*").alias("m")).filter("m > 1").select("sub"),
                             "near-shared")
@@ -143,15 +169,30 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
 
     placed = write_snapshot(
         entries.join(stars.select("key"), "key").join(found.withColumnRenamed("node", "id"), "id", "left")
-        .select("key", "id", "n", F.coalesce("component", "id").alias("component")), "near-placed")
-    open_keys = write_snapshot(
-        placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-        .filter("low <> high").select("key"), "near-open")
-    unsettled = write_snapshot(placed.join(open_keys, "key"), "near-unsettled")
-    one = unsettled.select("key", F.col("id").alias("a"), F.col("n").alias("na"), F.col("component").alias("ca"))
-    two = unsettled.select("key", F.col("id").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb"))
-    across = write_snapshot(one.join(two, "key").filter("ca < cb").filter(fits).select(
-        F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "near-across")
+        .select("key", "id", "n", F.coalesce("component", "id").alias("component"), F.lit(0).alias("most")),
+        "near-placed")
+    unsettled = _unsettled(placed)
+    while True:
+        # what each document shares with other components of the unsettled buckets
+        able = write_snapshot(_able(unsettled, sets, percent), "near-able")
+        kept = _unsettled(write_snapshot(unsettled.drop("most").join(able, "id"), "near-kept"))
+        done = kept.count() >= 0.9 * unsettled.count()
+        unsettled = kept
+        if done:
+            break
+    # the pairs that meet in a table share a sub-key of each collection: joined on the first
+    # collection's, and counted at the first of those they share
+    left = unsettled.select("id", "n", "component", "most").distinct().join(firsts.select("id", "keys"), "id")
+    by_sub = write_snapshot(left.select("*", F.posexplode(F.slice("keys", 1, TERMS)).alias("i", "u")), "near-by-sub")
+    one, two = (by_sub.select("u", "i", *[F.col(c).alias(c + x) for c in ("id", "n", "component", "most", "keys")])
+                for x in ("_a", "_b"))
+    most = F.least("most_a", "most_b")
+    reach = 100 * most >= percent * (F.col("n_a") + F.col("n_b") - most)
+    first = F.expr(" AND ".join(f"(i <= {t} OR keys_a[{t}] <> keys_b[{t}])" for t in range(TERMS)))
+    meets = F.expr(" OR ".join(f"keys_a[{t}] = keys_b[{t}]" for t in range(TERMS, 2 * TERMS)))
+    across = write_snapshot(
+        one.join(two.drop("i"), "u").filter("component_a < component_b").filter(reach).filter(first).filter(meets)
+        .select(F.least("id_a", "id_b").alias("a"), F.greatest("id_a", "id_b").alias("b")).distinct(), "near-across")
     rest = across.join(pairs, ["a", "b"], "left_anti")
     more = write_snapshot(_linked(rest, sets, percent), "near-more-links")
     if not more.isEmpty():
