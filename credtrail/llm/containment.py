@@ -50,7 +50,8 @@ def size_class(n: int) -> int:
 
 
 def build_index(items: list[tuple[object, np.ndarray]]) -> dict:
-    """Sketches of (item_id, distinct sorted shingles): for each class and hash the sorted minima."""
+    """Sketches of (item_id, distinct sorted shingles): for each class and hash the sorted
+    minima, the items of each, and which leading 16 bits occur."""
     classes: dict = {}
     for i, (_, own) in enumerate(items):
         if len(own):
@@ -59,10 +60,10 @@ def build_index(items: list[tuple[object, np.ndarray]]) -> dict:
     for c, members in classes.items():
         for k in range(HASHES):
             low = np.array([int(((items[i][1] ^ _XOR[k]) * _MUL[k]).min()) for i in members], np.uint64)
-            order = np.argsort(low, kind="stable")
+            keys, group = np.unique(low, return_inverse=True)
             near = np.zeros(1 << 16, bool)
-            near[low >> np.uint64(48)] = True
-            bands[c, k] = (low[order], np.array(members)[order], near)
+            near[keys >> np.uint64(48)] = True
+            bands[c, k] = (keys, [[members[i] for i in np.flatnonzero(group == g)] for g in range(len(keys))], near)
     return {"items": items, "classes": sorted(classes), "bands": bands}
 
 
@@ -93,9 +94,11 @@ def candidates(rows: list[np.ndarray], index: dict) -> set[tuple[int, int]]:
             window = low.copy()
             window[paired] = np.minimum(low[paired], low[paired + 1])
             keys, members, near = index["bands"][c, k]
-            for w in np.flatnonzero(near[window >> np.uint64(48)]).tolist():
-                a, b = np.searchsorted(keys, window[w], "left"), np.searchsorted(keys, window[w], "right")
-                found.update((int(row[w]), int(i)) for i in members[a:b])
+            likely = np.flatnonzero(near[window >> np.uint64(48)])
+            at = np.searchsorted(keys, window[likely])
+            same = keys[np.minimum(at, len(keys) - 1)] == window[likely]
+            for r, g in np.unique(np.stack([row[likely[same]], at[same]], axis=1), axis=0).tolist():
+                found.update((r, i) for i in members[g])
     return found
 
 
