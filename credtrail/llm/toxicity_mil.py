@@ -10,10 +10,12 @@ A word counts as itself and by its beginnings of 4, 5 and 6 letters, hashed into
 weights. Sentences end at . ! ? and line ends. A-Z are lower-cased; words are runs of ASCII
 letters, digits and bytes above 127.
 
-Training reads at most ``MAX_DOCS`` documents and about ``MAX_BYTES`` of text of each label,
-chosen by a hash of the id; features are made on the executors, the fit is numpy over that
-bounded sample, and the sample's share of each label is weighted back to the label's share of
-all labelled rows. Scoring covers every whole text.
+Training uses about ``MAX_DOCS`` labelled documents and ``MAX_BYTES`` of text of each label, chosen
+by a hash of the id: the ids are chosen from the labels alone, and that bounded list is broadcast
+to find their texts, so no text is shuffled. Features are made on the executors, the fit is numpy
+over the sample (buckets in fewer than ``MIN_DOCS`` of its documents are left out; weights can't be
+negative, as evidence only adds up), and each label is weighted back to its share of all labelled
+rows. Scoring covers every whole text.
 
 Defined cases: a null, empty or wordless text scores 0; without both labels in the training rows
 every text scores 0. A null label teaches nothing. Rows with one id and several labels teach
@@ -29,12 +31,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from credtrail.llm.common import TwoGenerationCache, fold_of, read_table, ship_package, slices, text_bytes
+from credtrail.llm.common import (TwoGenerationCache, fold_of, read_table, ship_package, slices, text_bytes,
+                                  write_snapshot)
 from credtrail.llm.words import FOLD_ASCII, words_of
 
 BUCKETS = 1 << 18
 MAX_DOCS = 3000
-MAX_BYTES = 12 << 20
+MAX_BYTES = 5 << 20
 EPOCHS = 60
 MIN_DOCS = 5
 BIAS = -9.0
@@ -68,20 +71,39 @@ def sentences_of(data: np.ndarray, off: np.ndarray):
 
 # --- training -------------------------------------------------------------------------------
 
-def learn(labelled: DataFrame, text: str = "text", label: str = "toxic", doc_id: str = "doc_id",
-          max_docs: int = MAX_DOCS, max_bytes: int = MAX_BYTES, epochs: int = EPOCHS) -> dict | None:
-    """Weights and bias from rows with a text and a 0/1 label; None without both labels."""
-    ship_package(labelled.sparkSession)
-    rows = labelled.select(F.col(label).cast("int").alias("label"), F.col(text).alias("text"),
-                           F.xxhash64(F.col(doc_id), F.lit("mil")).alias("h")) \
-        .filter("label in (0, 1) and text is not null")
-    sizes = {r["label"]: r for r in rows.groupBy("label").agg(
-        F.count("*").alias("n"), F.sum(F.octet_length("text")).alias("bytes")).collect()}
+def sample_texts(docs: DataFrame, labels: DataFrame, label: str, max_docs: int, max_bytes: int):
+    """((label, text, h) of the sampled documents as a written table, {label: weight of one});
+    None without both labels."""
+    known = labels.select(F.col("doc_id"), F.col(label).cast("int").alias("label"),
+                          F.pmod(F.xxhash64("doc_id", F.lit("mil")), F.lit(1_000_000)).alias("h")) \
+        .filter("label in (0, 1) and doc_id is not null")
+    counts = {r["label"]: r["count"] for r in known.groupBy("label").count().collect()}
+    if len(counts) < 2:
+        return None
+
+    def within(share: dict):
+        return F.col("h") < F.when(F.col("label") == 1, share[1]).otherwise(share[0]) * 1_000_000
+
+    share = {k: min(1.0, max_docs / n) for k, n in counts.items()}
+    picked = F.broadcast(known.filter(within(share)))  # about 2 * max_docs short rows
+    found = write_snapshot(docs.select("doc_id", "text").filter("text is not null").join(picked, "doc_id")
+                           .select("label", "text", "h"), "mil-sample")
+    sizes = {r["label"]: r["bytes"] for r in found.groupBy("label").agg(F.sum(F.octet_length("text")).alias("bytes")).collect()}
     if len(sizes) < 2:
         return None
-    share = {k: min(1.0, max_docs / r["n"], max_bytes / max(r["bytes"], 1)) for k, r in sizes.items()}
-    sample = rows.filter(F.pmod("h", F.lit(1_000_000)) < F.when(F.col("label") == 1, share[1]).otherwise(share[0])
-                         * 1_000_000).select("label", "text", "h")
+    share = {k: share[k] * min(1.0, max_bytes / max(sizes[k], 1)) for k in share}
+    return found.filter(within(share)), {k: 1 / v for k, v in share.items()}
+
+
+def learn(docs: DataFrame, labels: DataFrame, label: str = "toxic", max_docs: int = MAX_DOCS,
+          max_bytes: int = MAX_BYTES, epochs: int = EPOCHS) -> dict | None:
+    """Weights and bias from ``docs`` (doc_id, text) and ``labels`` (doc_id, 0/1); None without
+    both labels."""
+    ship_package(docs.sparkSession)
+    sampled = sample_texts(docs, labels, label, max_docs, max_bytes)
+    if sampled is None:
+        return None
+    sample, weight = sampled
 
     def bags(batches):
         for batch in batches:
@@ -109,7 +131,7 @@ def learn(labelled: DataFrame, text: str = "text", label: str = "toxic", doc_id:
     if len({r["label"] for r in got}) < 2:
         return None
     return fit(np.array([r["label"] for r in got]), [np.frombuffer(r["feats"], np.int32) for r in got],
-               [np.frombuffer(r["lens"], np.int32) for r in got], {k: 1 / v for k, v in share.items()}, epochs)
+               [np.frombuffer(r["lens"], np.int32) for r in got], weight, epochs)
 
 
 def fit(labels: np.ndarray, feats: list, lens: list, weight: dict, epochs: int = EPOCHS) -> dict:
@@ -117,11 +139,14 @@ def fit(labels: np.ndarray, feats: list, lens: list, weight: dict, epochs: int =
     size = np.array([len(x) for x in lens])
     flat = np.concatenate(feats)
     length = np.concatenate(lens)
-    sentence = np.repeat(np.arange(len(length)), length)
-    documents = np.bincount(np.concatenate([np.unique(x) for x in feats]), minlength=BUCKETS)
+    sentence = np.repeat(np.arange(len(length), dtype=np.int32), length)
+    documents = np.zeros(BUCKETS, np.int32)
+    for x in feats:
+        documents[np.unique(x)] += 1
     known = documents[flat] >= MIN_DOCS
     sentence = sentence[known]
     used, flat = np.unique(flat[known], return_inverse=True)
+    flat = flat.astype(np.int32)
     bag = np.repeat(np.arange(len(labels)), size)
     importance = np.array([weight[int(k)] for k in labels])
     importance = importance / importance.sum()
@@ -192,16 +217,15 @@ def score(df: DataFrame, model: dict | None, text: str = "text", threshold: floa
         run, T.StructType([*keep, T.StructField("score", T.DoubleType()), T.StructField("offending", spans)]))
 
 
-def labelled_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """(doc_id, text, toxic) of the labelled documents outside fold 0."""
-    known = labels.filter(fold_of(F.col("doc_id")) != 0).filter("toxic is not null").select("doc_id", "toxic")
-    return docs.select("doc_id", "text").join(known, "doc_id")
+def training_labels(labels: DataFrame) -> DataFrame:
+    """The labels that may be learned from: those outside fold 0."""
+    return labels.select("doc_id", "toxic").filter(fold_of(F.col("doc_id")) != 0)
 
 
 def op7_toxicity_mil(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Learn from the labels outside fold 0, then score every document."""
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
-    model = learn(labelled_documents(docs, read_table(spark, sf_dir, "labels")))
+    model = learn(docs, training_labels(read_table(spark, sf_dir, "labels")))
     scored = score(docs, model)
     return scored.select(
         "doc_id", (fold_of(F.col("doc_id")) == 0).alias("held_out"), "score",

@@ -96,7 +96,7 @@ def insults(spark):
 
 def test_sentences_of_toxic_documents_are_found(spark, insults):
     df = spark.createDataFrame(insults, "doc_id long, text string, toxic int")
-    model = toxicity_mil.learn(df.filter("doc_id < 600"))
+    model = toxicity_mil.learn(df, df.filter("doc_id < 600").select("doc_id", "toxic"))
     rows = toxicity_mil.score(df.filter("doc_id >= 600"), model).collect()
     assert sum((r["score"] >= 0.5) == bool(r["toxic"]) for r in rows) >= 0.97 * len(rows)
     right = 0
@@ -121,7 +121,9 @@ def test_score_is_the_noisy_or_of_sentences(spark):
 
 def test_without_both_labels_everything_scores_zero(spark):
     df = spark.createDataFrame([(1, "a b", 1), (2, "c d", 1), (3, None, 0), (4, "x", None)], "doc_id long, text string, toxic int")
-    assert toxicity_mil.learn(df) is None and toxicity_mil.learn(df.limit(0)) is None
+    assert toxicity_mil.learn(df, df) is None and toxicity_mil.learn(df, df.limit(0)) is None
+    both = df.withColumn("toxic", F.col("doc_id").cast("int") % 2)
+    assert toxicity_mil.learn(df.limit(0), both) is None
     assert {r["score"] for r in toxicity_mil.score(df, None).collect()} == {0.0}
     assert toxicity_mil.score(df.limit(0), None).count() == 0
 
