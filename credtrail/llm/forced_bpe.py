@@ -33,7 +33,8 @@ from pyspark.sql import types as T
 from credtrail.llm.common import TwoGenerationCache, read_table, ship_package, slices, text_bytes
 from credtrail.llm.words import distinct_pieces
 
-CACHE_ENTRIES = 300_000
+CACHE_ENTRIES = 100_000
+SLICE_BYTES = 2 << 20
 JOIN = 256
 
 
@@ -193,7 +194,7 @@ def encode_texts(df: DataFrame, tokenizer_path: str, text: str = "text", ids: st
     def run(batches):
         encoder = _encoder(tokenizer_path, shared)
         for batch in batches:
-            for part in slices(batch, text):
+            for part in slices(batch, text, SLICE_BYTES):
                 flat, off = encoder.encode(part.column(text))
                 values = pa.ListArray.from_arrays(pa.array(off.astype(np.int32)), pa.array(flat.view(np.int32)))
                 yield pa.RecordBatch.from_arrays([*(part.column(c) for c in names), values], [*names, ids])
@@ -213,8 +214,8 @@ def decode_ids(df: DataFrame, tokenizer_path: str, ids: str = "ids", text: str =
         table = token_table(json.loads(shared.value))
         size = len(table)
         for batch in batches:
-            for k in range(0, batch.num_rows, 1000):
-                part = batch.slice(k, 1000)
+            for k in range(0, batch.num_rows, 500):
+                part = batch.slice(k, 500)
                 texts = [b"".join([table[i] for i in (row or ()) if i is not None and 0 <= i < size])
                          .decode("utf-8", "replace") for row in _rows(part.column(ids))]
                 yield pa.RecordBatch.from_arrays(
