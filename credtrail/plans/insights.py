@@ -45,7 +45,8 @@ def i3_mismatch_rate_by_state(vm: DataFrame, pr: DataFrame, irr: DataFrame,
     """Per state: vendors, reconciliation rows with ``status``, and their share.
 
     ``status='Mismatch'`` reproduces the literal the reference's SQL tests
-    (a value the reconciliation never emits, so the count is 0).
+    (a value the reconciliation never emits, so the count is 0). Output contract: reconciliation
+    and vendor ids are primary keys (S10 checks them), so rows are counted, not distinct ids.
     """
     rec = irr.select("purchase_invoice_id", "reconciliation_id", "match_status")
     per_vendor = (pr.select("purchase_invoice_id", "vendor_id")
@@ -143,7 +144,11 @@ def i9_risk_by_business_type(vm: DataFrame, vrs: DataFrame, ils: DataFrame) -> D
 
 
 def i10_monthly_trend(pr: DataFrame, irr: DataFrame, k: int = 12) -> DataFrame:
-    """Latest k months: invoices, claimed / matched / unmatched tax (fan-out kept)."""
+    """Latest k months: invoices, claimed / matched / unmatched tax (fan-out kept).
+
+    Output contract: purchase_invoice_id is a primary key (S10 checks it), so invoices are
+    counted, not distinct ids.
+    """
     per_invoice = (irr.filter(F.col("purchase_invoice_id").isNotNull())
                    .groupBy("purchase_invoice_id")
                    .agg(F.count(F.lit(1)).alias("_n"),
