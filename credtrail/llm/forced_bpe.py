@@ -185,41 +185,55 @@ def _share(spark: SparkSession, path: str):
         return spark.sparkContext.broadcast(f.read())
 
 
-def encode_texts(df: DataFrame, tokenizer_path: str, text: str = "text", ids: str = "ids") -> DataFrame:
-    """``df`` with the token ids of ``text`` (array<int>) in place of the text."""
+def _ids_array(flat: np.ndarray, off: np.ndarray) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(off.astype(np.int32)), pa.array(flat.view(np.int32)))
+
+
+def _texts(rows, table: list[bytes]) -> pa.Array:
+    """The text of each list of ids: ids outside the vocabulary give nothing, bytes that aren't
+    UTF-8 give U+FFFD, as in the library."""
+    size = len(table)
+    return pa.array([b"".join([table[i] for i in (row or ()) if i is not None and 0 <= i < size])
+                     .decode("utf-8", "replace") for row in rows], pa.string())
+
+
+def encode_texts(df: DataFrame, tokenizer_path: str, text: str = "text", ids: str = "ids",
+                 decoded: str | None = None) -> DataFrame:
+    """``df`` with the token ids of ``text`` (array<int>) in place of the text; with ``decoded``
+    also the text that these ids decode to, in the same pass."""
     shared = _share(df.sparkSession, tokenizer_path)
-    keep = [f for f in df.schema.fields if f.name not in (text, ids)]
+    keep = [f for f in df.schema.fields if f.name not in (text, ids, decoded)]
     names = [f.name for f in keep]
+    more = [decoded] if decoded else []
 
     def run(batches):
         encoder = _encoder(tokenizer_path, shared)
         for batch in batches:
             for part in slices(batch, text, SLICE_BYTES):
                 flat, off = encoder.encode(part.column(text))
-                values = pa.ListArray.from_arrays(pa.array(off.astype(np.int32)), pa.array(flat.view(np.int32)))
-                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in names), values], [*names, ids])
+                values = _ids_array(flat, off)
+                texts = [_texts(_rows(values), encoder.table)] if decoded else []
+                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in names), values, *texts],
+                                                 [*names, ids, *more])
 
-    schema = T.StructType([*keep, T.StructField(ids, T.ArrayType(T.IntegerType(), False), False)])
+    schema = T.StructType([*keep, T.StructField(ids, T.ArrayType(T.IntegerType(), False), False),
+                           *[T.StructField(c, T.StringType()) for c in more]])
     return df.select(*names, text).mapInArrow(run, schema)
 
 
 def decode_ids(df: DataFrame, tokenizer_path: str, ids: str = "ids", text: str = "decoded") -> DataFrame:
-    """``df`` with the text of ``ids`` added; special tokens are kept, ids outside the
-    vocabulary give nothing, and bytes that aren't UTF-8 give U+FFFD, as in the library."""
+    """``df`` with the text of ``ids`` added; special tokens are kept."""
     shared = _share(df.sparkSession, tokenizer_path)
     keep = [f for f in df.schema.fields if f.name != text]
     names = [f.name for f in keep]
 
     def run(batches):
         table = token_table(json.loads(shared.value))
-        size = len(table)
         for batch in batches:
             for k in range(0, batch.num_rows, 500):
                 part = batch.slice(k, 500)
-                texts = [b"".join([table[i] for i in (row or ()) if i is not None and 0 <= i < size])
-                         .decode("utf-8", "replace") for row in _rows(part.column(ids))]
                 yield pa.RecordBatch.from_arrays(
-                    [*(part.column(c) for c in names), pa.array(texts, pa.string())], [*names, text])
+                    [*(part.column(c) for c in names), _texts(_rows(part.column(ids)), table)], [*names, text])
 
     return df.select(*names).mapInArrow(run, T.StructType([*keep, T.StructField(text, T.StringType())]))
 
@@ -241,7 +255,7 @@ def op5_bpe_forced_boundary(spark: SparkSession, sf_dir: str, tokenizer_path: st
 
     path = tokenizer_path or public_tokenizers.path("byte_bpe_50k.json")
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
-    return digests(decode_ids(encode_texts(docs, path), path))
+    return digests(encode_texts(docs, path, decoded="decoded"))
 
 
 def digests(decoded: DataFrame) -> DataFrame:

@@ -36,6 +36,7 @@ from credtrail.llm.words import FOLD_ASCII
 ORDER = 3
 MAX_DOCS = 1500
 MAX_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 RESULTS = ("lang_pred", "score")
 
 
@@ -66,7 +67,7 @@ def learn(labelled: DataFrame, text: str = "text", lang: str = "lang", doc_id: s
 
     def count(batches):
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", SLICE_BYTES):
                 wide, at, off = padded(part.column("text"))
                 gram = np.zeros(len(at), np.int64)
                 for k in range(ORDER, -1, -1):
@@ -95,7 +96,7 @@ def freeze(counts: dict) -> dict:
         return {"languages": []}
     used = np.unique(np.concatenate([g & 0xFF for g, _ in counts.values()] + [[0x20]]))
     kinds = len(used) + 1  # class 0: bytes that training has not seen
-    classes = np.zeros(256, np.int64)
+    classes = np.zeros(256, np.int32)
     classes[used] = np.arange(1, kinds)
     coded = {}
     for name, (gram, n) in counts.items():
@@ -132,7 +133,7 @@ def code_lengths(column: pa.Array, model: dict) -> np.ndarray:
     """Bits of each whole text under each language."""
     wide, at, off = padded(column)
     code = model["classes"][wide]
-    context = np.zeros(len(at), np.int64)
+    context = np.zeros(len(at), np.int32)
     for k in range(ORDER, 0, -1):
         context *= model["kinds"]
         context += code[at - k]
@@ -160,7 +161,7 @@ def predict(df: DataFrame, model: dict, text: str = "text") -> DataFrame:
         frozen = shared.value
         languages = np.array([*frozen["languages"], "und"], object)
         for batch in batches:
-            for part in slices(batch, text, 2 << 20):
+            for part in slices(batch, text, SLICE_BYTES):
                 column = part.column(text)
                 letters = np.fromiter(map(has_letter, (x.as_py() for x in column)), bool, part.num_rows)
                 best, score = np.full(part.num_rows, -1), np.zeros(part.num_rows)

@@ -197,9 +197,9 @@ def score(df: DataFrame, model: dict | None, text: str = "text", threshold: floa
     def run(batches):
         fitted = shared.value or {"weights": np.zeros(BUCKETS, np.float32), "bias": -np.inf}
         weights = fitted["weights"]
-        cache = TwoGenerationCache(300_000, lambda words: [float(weights[features(w)].sum()) for w in words])
+        cache = TwoGenerationCache(150_000, lambda words: [float(weights[features(w)].sum()) for w in words])
         for batch in batches:
-            for part in slices(batch, text):
+            for part in slices(batch, text, 2 << 20):
                 data, off = text_bytes(part.column(text))
                 z, row, sentence, at = sentence_scores(data, off, fitted, cache)
                 total = np.bincount(row, np.logaddexp(0, z), part.num_rows)
