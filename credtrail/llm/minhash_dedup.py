@@ -4,7 +4,8 @@ Instead of hashing afresh for every table, ``TERMS`` sub-keys of ``WIDTH`` minim
 two small collections; table (i, j) is keyed by the pair of sub-key i of the first and sub-key j
 of the second. So ``TERMS``^2 = 144 tables of 6 minima come from 2 * 12 * 3 = 72 minima instead of
 864. Two documents of Jaccard similarity s meet in no table with probability
-1 - (1 - (1 - s^3)^12)^2, which is 2.2e-5 at 0.85 and falls quickly above.
+1 - (1 - (1 - s^3)^12)^2, which is 2.2e-5 at 0.85 and falls quickly above. At 0.80 it is 3.7e-4
+with 12 terms and 2.1e-5 with 16 (256 tables from 96 minima); ``terms`` is an argument.
 
 The job, each step a written table:
 
@@ -44,25 +45,24 @@ TERMS = 12
 WIDTH = 3
 PERCENT = 85
 
-_N = 2 * TERMS * WIDTH
-_XOR = mix(np.arange(1, _N + 1, dtype=np.uint64) * np.uint64(0x8CB92BA72F3D8DD7))
-_MUL = mix(np.arange(1, _N + 1, dtype=np.uint64) * np.uint64(0xAAAAAAAAAAAAAAAB)) | np.uint64(1)
 
-
-def sub_keys(sets: list[np.ndarray]) -> np.ndarray:
-    """2 * TERMS sub-keys of each non-empty set: WIDTH minima and the sub-key's number, mixed."""
+def sub_keys(sets: list[np.ndarray], terms: int = TERMS) -> np.ndarray:
+    """2 * terms sub-keys of each non-empty set: WIDTH minima and the sub-key's number, mixed."""
+    number = np.arange(1, 2 * terms * WIDTH + 1, dtype=np.uint64)
+    xor = mix(number * np.uint64(0x8CB92BA72F3D8DD7))
+    mul = mix(number * np.uint64(0xAAAAAAAAAAAAAAAB)) | np.uint64(1)
     flat = np.concatenate(sets)
     begin = np.cumsum([0, *map(len, sets)])[:-1]
-    out = np.zeros((len(sets), 2 * TERMS), np.uint64)
-    for t in range(2 * TERMS):
+    out = np.zeros((len(sets), 2 * terms), np.uint64)
+    for t in range(2 * terms):
         key = np.full(len(sets), t + 1, np.uint64)
         for k in range(t * WIDTH, (t + 1) * WIDTH):
-            key = mix(key + np.minimum.reduceat((flat ^ _XOR[k]) * _MUL[k], begin))
+            key = mix(key + np.minimum.reduceat((flat ^ xor[k]) * mul[k], begin))
         out[:, t] = key
     return out
 
 
-def sketches(docs: DataFrame) -> DataFrame:
+def sketches(docs: DataFrame, terms: int = TERMS) -> DataFrame:
     """(doc_id, n_shingles, set_id, keys) of every row; set_id and keys are null without words."""
     ship_package(docs.sparkSession)
 
@@ -73,7 +73,7 @@ def sketches(docs: DataFrame) -> DataFrame:
                 full = [i for i, x in enumerate(sets) if len(x)]
                 keys: list = [None] * len(sets)
                 if full:
-                    for i, row in zip(full, sub_keys([sets[i] for i in full]).view(np.int64), strict=True):
+                    for i, row in zip(full, sub_keys([sets[i] for i in full], terms).view(np.int64), strict=True):
                         keys[i] = row
                 yield pa.RecordBatch.from_pydict({
                     "doc_id": part.column("doc_id"),
@@ -132,12 +132,13 @@ def _able(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return ids.join(most, "id").filter(f"100 * most >= {percent} * n").select("id", "most")
 
 
-def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+def near_duplicates(docs: DataFrame, percent: int = PERCENT, terms: int = TERMS) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) of every row of ``docs`` (doc_id, text);
-    documents are linked if 100 * shared shingles >= percent * all shingles of the two."""
+    documents are linked if 100 * shared shingles >= percent * all shingles of the two. A lower
+    ``percent`` needs more ``terms``: the module docstring has the chance to miss a pair."""
     fits = F.expr(f"100 * least(na, nb) >= {percent} * greatest(na, nb)")
 
-    sketch = write_snapshot(sketches(docs), "near-sketch")
+    sketch = write_snapshot(sketches(docs, terms), "near-sketch")
     known = sketch.filter("doc_id is not null and set_id is not null")
     classes = write_snapshot(known.groupBy("set_id").agg(F.min("doc_id").alias("id")), "near-classes")
     firsts = known.join(classes.select(F.col("id").alias("doc_id"), F.col("set_id").alias("class_set")), "doc_id") \
@@ -150,8 +151,8 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
                             "near-shared")
     per_class = subs.join(shared, "sub").groupBy("id").agg(
         F.first("n").alias("n"), F.collect_list(F.struct("term", "sub")).alias("subs"))
-    firsts_of = F.expr(f"transform(filter(subs, x -> x.term < {TERMS}), x -> x.sub)")
-    seconds_of = F.expr(f"transform(filter(subs, x -> x.term >= {TERMS}), x -> x.sub)")
+    firsts_of = F.expr(f"transform(filter(subs, x -> x.term < {terms}), x -> x.sub)")
+    seconds_of = F.expr(f"transform(filter(subs, x -> x.term >= {terms}), x -> x.sub)")
     entries = write_snapshot(
         per_class.select("id", "n", F.explode(firsts_of).alias("u"), seconds_of.alias("vs"))
         .select("id", "n", "u", F.explode("vs").alias("v"))
@@ -183,13 +184,13 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     # the pairs that meet in a table share a sub-key of each collection: joined on the first
     # collection's, and counted at the first of those they share
     left = unsettled.select("id", "n", "component", "most").distinct().join(firsts.select("id", "keys"), "id")
-    by_sub = write_snapshot(left.select("*", F.posexplode(F.slice("keys", 1, TERMS)).alias("i", "u")), "near-by-sub")
+    by_sub = write_snapshot(left.select("*", F.posexplode(F.slice("keys", 1, terms)).alias("i", "u")), "near-by-sub")
     one, two = (by_sub.select("u", "i", *[F.col(c).alias(c + x) for c in ("id", "n", "component", "most", "keys")])
                 for x in ("_a", "_b"))
     most = F.least("most_a", "most_b")
     reach = 100 * most >= percent * (F.col("n_a") + F.col("n_b") - most)
-    first = F.expr(" AND ".join(f"(i <= {t} OR keys_a[{t}] <> keys_b[{t}])" for t in range(TERMS)))
-    meets = F.expr(" OR ".join(f"keys_a[{t}] = keys_b[{t}]" for t in range(TERMS, 2 * TERMS)))
+    first = F.expr(" AND ".join(f"(i <= {t} OR keys_a[{t}] <> keys_b[{t}])" for t in range(terms)))
+    meets = F.expr(" OR ".join(f"keys_a[{t}] = keys_b[{t}]" for t in range(terms, 2 * terms)))
     across = write_snapshot(
         one.join(two.drop("i"), "u").filter("component_a < component_b").filter(reach).filter(first).filter(meets)
         .select(F.least("id_a", "id_b").alias("a"), F.greatest("id_a", "id_b").alias("b")).distinct(), "near-across")

@@ -71,3 +71,12 @@ def test_stages_on_odd_rows(spark):
             assert ids == ["1", "2", "3", "6", "None", "None"]
         else:
             assert len(ids) == len(rows)
+
+
+def test_near_dedup_at_a_lower_threshold(spark):
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
+    want = {p: {c for _, c in components(rows, percent=p).values()} for p in (80, 85)}
+    assert want[80] < want[85]
+    got = corpus_pipeline.near_dedup(spark, docs, SF_SMALL, percent=80, terms=16)
+    assert {r["doc_id"] for r in got.collect()} == want[80]
