@@ -10,7 +10,9 @@ with 12 terms and 2.1e-5 with 16 (256 tables from 96 minima); ``terms`` is an ar
 The job, each step a written table:
 
 1. whole texts -> distinct five-word shingles, their number, a digest of the set, 24 sub-keys;
-2. documents with equal sets become one class, represented by the smallest doc_id;
+2. documents with equal sets become one class, represented by the smallest doc_id and, of its
+   texts, the smallest digest; classes are numbered in that order, and the steps below work on the
+   numbers, because one doc_id can stand for several texts and so for several classes;
 3. sub-keys that only one class has can't meet anyone: only the others are paired to table keys;
 4. each class is compared with the smallest class of each of its buckets (a star, not all pairs),
    exactly, on the full sets, and the links give components;
@@ -26,7 +28,10 @@ Joins read written tables on both sides, so that adaptive execution can split a
 
 Defined cases: texts without words are linked with nothing; with fewer than five words the whole
 sequence is the one shingle. Rows with a null doc_id get no component (null) and are kept.
-Repeated rows of one doc_id share its component. Only doc_id and text are read.
+Rows of one doc_id are compared by their own texts: equal texts share a component, different ones
+only if they are linked. A component is named by its smallest doc_id, so components of different
+texts of that doc_id have one name; ``kept`` tells them apart: it holds for the rows whose doc_id
+and text represent the component. Only doc_id and text are read.
 """
 
 from __future__ import annotations
@@ -34,7 +39,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from credtrail.llm.common import connected_components, read_table, ship_package, slices, write_snapshot
@@ -62,8 +67,13 @@ def sub_keys(sets: list[np.ndarray], terms: int = TERMS) -> np.ndarray:
     return out
 
 
+def text_digest(text: str = "text") -> Column:
+    """MD5 of a text column; empty for null, which no text has."""
+    return F.coalesce(F.unhex(F.md5(text)), F.lit(b""))
+
+
 def sketches(docs: DataFrame, terms: int = TERMS) -> DataFrame:
-    """(doc_id, n_shingles, set_id, keys) of every row; set_id and keys are null without words."""
+    """(doc_id, digest, n_shingles, set_id, keys) of every row; set_id and keys are null without words."""
     ship_package(docs.sparkSession)
 
     def run(batches):
@@ -77,16 +87,17 @@ def sketches(docs: DataFrame, terms: int = TERMS) -> DataFrame:
                         keys[i] = row
                 yield pa.RecordBatch.from_pydict({
                     "doc_id": part.column("doc_id"),
+                    "digest": part.column("digest"),
                     "n_shingles": pa.array([len(x) for x in sets], pa.int64()),
                     "set_id": pa.array([xxhash.xxh128_digest(x) if len(x) else None for x in sets], pa.binary()),
                     "keys": pa.array(keys, pa.list_(pa.int64()))})
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
-        run, "doc_id long, n_shingles long, set_id binary, keys array<long>")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", text_digest().alias("digest")).mapInArrow(
+        run, "doc_id long, digest binary, n_shingles long, set_id binary, keys array<long>")
 
 
 def full_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(id, shingles: array of 64-bit hashes) of the documents whose id is in ``wanted``."""
+    """(id, shingles: array of 64-bit hashes) of the texts in ``wanted`` (id, doc_id, digest)."""
     def run(batches):
         for batch in batches:
             for part in slices(batch, "text", 2 << 20):
@@ -95,8 +106,10 @@ def full_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                     "id": part.column("id"),
                     "shingles": pa.array([x.view(np.int64) for x in sets], pa.list_(pa.int64()))})
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("id"), "text").join(wanted, "id") \
-        .dropDuplicates(["id"])
+    # repeated rows are combined before the shuffle, and the digest spreads the texts of one doc_id
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", text_digest().alias("digest")) \
+        .filter("doc_id is not null and text is not null").dropDuplicates(["doc_id", "digest"])
+    rows = texts.join(wanted, ["doc_id", "digest"]).select("id", "text")
     return rows.mapInArrow(run, "id long, shingles array<long>")
 
 
@@ -136,15 +149,22 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, terms: int = TERMS)
     """(doc_id, n_shingles, component_id, kept) of every row of ``docs`` (doc_id, text);
     documents are linked if 100 * shared shingles >= percent * all shingles of the two. A lower
     ``percent`` needs more ``terms``: the module docstring has the chance to miss a pair."""
+    return labelled(docs, percent, terms).drop("digest")
+
+
+def labelled(docs: DataFrame, percent: int = PERCENT, terms: int = TERMS) -> DataFrame:
+    """(doc_id, digest of the text, n_shingles, component_id, kept) of every row of ``docs``."""
     fits = F.expr(f"100 * least(na, nb) >= {percent} * greatest(na, nb)")
 
     sketch = write_snapshot(sketches(docs, terms), "near-sketch")
     known = sketch.filter("doc_id is not null and set_id is not null")
-    classes = write_snapshot(known.groupBy("set_id").agg(F.min("doc_id").alias("id")), "near-classes")
-    firsts = known.join(classes.select(F.col("id").alias("doc_id"), F.col("set_id").alias("class_set")), "doc_id") \
-        .filter("set_id = class_set").dropDuplicates(["set_id"])
-    firsts = write_snapshot(firsts.select(F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"), "keys"),
-                            "near-firsts")
+    classes = write_snapshot(
+        known.groupBy("set_id").agg(F.min(F.struct("doc_id", "digest")).alias("one"), F.first("n_shingles").alias("n"),
+                                    F.first("keys").alias("keys"))
+        .select("set_id", "one.doc_id", "one.digest", "n", "keys"), "near-classes")
+    # ids in the order of doc_id and digest, so that the smallest id of a component has its smallest doc_id
+    firsts = write_snapshot(
+        classes.orderBy("doc_id", "digest").withColumn("id", F.monotonically_increasing_id()), "near-firsts")
     subs = firsts.select("id", "n", F.posexplode("keys").alias("term", "sub"))
 
     shared = write_snapshot(subs.groupBy("sub").agg(F.count("*").alias("m")).filter("m > 1").select("sub"),
@@ -164,6 +184,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, terms: int = TERMS)
     members = entries.join(stars, "key").select("key", "a", "na", F.col("id").alias("b"), F.col("n").alias("nb"))
     pairs = write_snapshot(members.filter("a <> b").filter(fits).select("a", "b").distinct(), "near-pairs")
     wanted = entries.join(stars.select("key"), "key").select("id").distinct()
+    wanted = firsts.select("id", "doc_id", "digest").join(wanted, "id")
     sets = write_snapshot(full_sets(docs, write_snapshot(wanted, "near-wanted")), "near-sets")
     links = write_snapshot(_linked(pairs, sets, percent), "near-links")
     found = connected_components(links)
@@ -199,13 +220,16 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, terms: int = TERMS)
     if not more.isEmpty():
         found = connected_components(links.union(more))
 
+    member = firsts.select("set_id", "id").join(found.withColumnRenamed("node", "id"), "id", "left") \
+        .select("set_id", F.coalesce("component", "id").alias("id"))
     whole = write_snapshot(
-        classes.join(found.withColumnRenamed("node", "id"), "id", "left")
-        .select("set_id", F.coalesce("component", "id").alias("component_id")), "near-components")
-    out = sketch.select("doc_id", "n_shingles", "set_id").join(whole, "set_id", "left")
+        member.join(firsts.select("id", F.col("doc_id").alias("component_id"), F.col("digest").alias("first_digest")), "id")
+        .select("set_id", "component_id", "first_digest"), "near-components")
+    out = sketch.select("doc_id", "digest", "n_shingles", "set_id").join(whole, "set_id", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
-    return out.select("doc_id", "n_shingles", component.alias("component_id"),
-                      F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
+    first = (F.col("doc_id") == F.col("component_id")) & (F.col("digest") == F.col("first_digest"))
+    return out.select("doc_id", "digest", "n_shingles", component.alias("component_id"),
+                      (F.col("doc_id").isNull() | F.coalesce(first, F.lit(True))).alias("kept"))
 
 
 def op6_minhash_tensored(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -80,3 +80,11 @@ def test_near_dedup_at_a_lower_threshold(spark):
     assert want[80] < want[85]
     got = corpus_pipeline.near_dedup(spark, docs, SF_SMALL, percent=80, terms=16)
     assert {r["doc_id"] for r in got.collect()} == want[80]
+
+
+def test_near_dedup_keeps_the_different_texts_of_one_id(spark):
+    texts = [f"{i} the bird number {i} sat on tree {i} and sang song {i}" for i in range(30)]
+    rows = [(5, t, "a") for t in texts] + [(5, texts[0], "a"), (9, texts[1], "b"), (2, texts[2], "c"), (5, None, "a"), (5, None, "a"), (5, "", "a")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, digest string").repartition(5)
+    got = sorted((r["doc_id"], str(r["text"])) for r in corpus_pipeline.near_dedup(spark, docs, SF_SMALL).collect())
+    assert got == sorted([(2 if i == 2 else 5, t) for i, t in enumerate(texts)] + [(5, "None"), (5, "")])

@@ -1,5 +1,6 @@
 """Operators 2, 6, 8 and 10 against brute force on small frames with odd rows."""
 
+import hashlib
 import random
 import re
 import zlib
@@ -95,6 +96,24 @@ def test_near_duplicates_of_null_ids_repeated_and_empty_tables(spark):
     assert minhash_dedup.near_duplicates(df.limit(0)).count() == 0
 
 
+def test_texts_that_share_an_id_are_compared_by_their_own_sets(spark):
+    r = random.Random(12)
+    words = lambda n: ["".join(r.choices("abcdefgh", k=4)) for _ in range(n)]
+    hot = [" ".join(words(60)) for _ in range(120)]
+    near = [t + " more" for t in hot[:40]]  # 56 of 57 shingles shared
+    rows = [(5, t) for t in hot] + [(5, t) for t in near[:20]] + [(100 + i, t) for i, t in enumerate(near[20:])]
+    rows += [(7, hot[50]), (3, hot[60].upper()), (5, None), (5, ""), (5, hot[0])]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(7)
+    got = minhash_dedup.labelled(df).join(df.withColumn("digest", minhash_dedup.text_digest()).distinct(), ["doc_id", "digest"]).collect()
+    assert len(got) == len(rows)
+    nodes = sorted({(d, hashlib.md5(t.encode()).digest() if t is not None else b"", t) for d, t in rows}, key=lambda x: x[:2])
+    want = components([(i, t) for i, (_, _, t) in enumerate(nodes)])
+    at = {(d, t): i for i, (d, _, t) in enumerate(nodes)}
+    for x in got:
+        i = at[x["doc_id"], x["text"]]
+        assert (x["n_shingles"], x["component_id"], x["kept"]) == (want[i][0], nodes[want[i][1]][0], want[i][1] == i)
+
+
 # --- containment ----------------------------------------------------------------------------
 
 def test_containment_against_brute_force(spark):
