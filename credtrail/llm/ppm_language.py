@@ -20,6 +20,14 @@ all texts if nothing could be learned. Rows without text or language teach nothi
 the language that sorts first. The score is the posterior of the language under equal priors.
 Columns named like the results are replaced; all others pass through; repeated rows are each
 scored.
+
+``known_language`` tells which texts are in a learned language at all. The shortest code of a text
+must not exceed LIMIT_FACTOR times the usual bits per byte of that language, the median of up to
+LIMIT_DOCS labelled rows (and never ``MOST_BITS``, what a byte costs without any model); a text is
+granted that for SHORT_BYTES bytes more than it has, so that a few rare letters don't reject a
+short one. The median stays right with up to half of the rows mislabelled. A language with fewer
+than LEAST_DOCS such rows has no limit, and if no language was learned every text with a letter
+passes: without a measure nothing is rejected.
 """
 
 from __future__ import annotations
@@ -37,6 +45,11 @@ ORDER = 3
 MAX_DOCS = 1500
 MAX_BYTES = 4 << 20
 SLICE_BYTES = 1 << 20
+LIMIT_DOCS = 500
+LEAST_DOCS = 30
+LIMIT_FACTOR = 2.5
+MOST_BITS = 8.0
+SHORT_BYTES = 16
 RESULTS = ("lang_pred", "score")
 
 
@@ -178,6 +191,60 @@ def predict(df: DataFrame, model: dict, text: str = "text") -> DataFrame:
     return df.select(*names).mapInArrow(run, schema)
 
 
+def usual_bits(labelled: DataFrame, model: dict, text: str = "text", lang: str = "lang", doc_id: str = "doc_id") -> dict:
+    """{language: median bits per byte of its rows in ``labelled``}, of those with LEAST_DOCS rows."""
+    if not model["languages"]:
+        return {}
+    ship_package(labelled.sparkSession)
+    shared = labelled.sparkSession.sparkContext.broadcast(model)
+    rows = labelled.select(F.col(lang).cast("string").alias("lang"), F.col(text).alias("text"),
+                           F.pmod(F.xxhash64(F.col(doc_id), F.lit("bits")), F.lit(1_000_000)).alias("h")) \
+        .filter(F.col("lang").isin(model["languages"]) & (F.octet_length("text") > 0))
+    counts = rows.groupBy("lang").count().collect()
+    if not counts:
+        return {}
+    share = F.create_map(*[F.lit(x) for r in counts for x in (r["lang"], min(1.0, LIMIT_DOCS / r["count"]))])
+    sample = rows.filter(F.col("h") < share[F.col("lang")] * 1_000_000).select("lang", "text")
+
+    def run(batches):
+        frozen = shared.value
+        for batch in batches:
+            for part in slices(batch, "text", SLICE_BYTES):
+                column = part.column("text")
+                own = [frozen["languages"].index(x) for x in part.column("lang").to_pylist()]
+                bits = code_lengths(column, frozen)[np.arange(part.num_rows), own]
+                yield pa.RecordBatch.from_pydict({"lang": part.column("lang"),
+                                                  "bits": pa.array(bits / np.diff(text_bytes(column)[1]))})
+
+    found = sample.mapInArrow(run, "lang string, bits double").groupBy("lang") \
+        .agg(F.count("*").alias("n"), F.percentile_approx("bits", 0.5).alias("bits")).collect()
+    return {r["lang"]: r["bits"] for r in found if r["n"] >= LEAST_DOCS}
+
+
+def known_language(df: DataFrame, model: dict, usual: dict, text: str = "text") -> DataFrame:
+    """``df`` with ``known``: whether the text has a letter and is in a learned language by the
+    limits that ``usual`` (from ``usual_bits``) sets."""
+    spark = df.sparkSession
+    ship_package(spark)
+    limits = np.array([min(MOST_BITS, LIMIT_FACTOR * usual[x]) if x in usual else np.inf for x in model["languages"]])
+    shared = spark.sparkContext.broadcast((model, limits))
+    keep = [f for f in df.schema.fields if f.name != "known"]
+    names = [f.name for f in keep]
+
+    def run(batches):
+        frozen, most = shared.value
+        for batch in batches:
+            for part in slices(batch, text, SLICE_BYTES):
+                column = part.column(text)
+                known = np.fromiter(map(has_letter, (x.as_py() for x in column)), bool, part.num_rows)
+                if frozen["languages"]:
+                    bits = code_lengths(column, frozen)
+                    known &= bits.min(axis=1) <= most[bits.argmin(axis=1)] * (np.diff(text_bytes(column)[1]) + SHORT_BYTES)
+                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in names), pa.array(known)], [*names, "known"])
+
+    return df.select(*names).mapInArrow(run, T.StructType([*keep, T.StructField("known", T.BooleanType())]))
+
+
 def op9_ppm_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Learn from the documents outside fold 0, then predict the language of every document."""
     docs = read_table(spark, sf_dir, "documents")

@@ -1,5 +1,8 @@
 """The pipeline: its stages against brute force, and the registered queries of the subpackage."""
 
+import base64
+import random
+
 import duckdb
 import pytest
 
@@ -88,3 +91,20 @@ def test_near_dedup_keeps_the_different_texts_of_one_id(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string, digest string").repartition(5)
     got = sorted((r["doc_id"], str(r["text"])) for r in corpus_pipeline.near_dedup(spark, docs, SF_SMALL).collect())
     assert got == sorted([(2 if i == 2 else 5, t) for i, t in enumerate(texts)] + [(5, "None"), (5, "")])
+
+
+def test_language_stage_rejects_what_no_learned_language_explains(spark):
+    sample = spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text", "lang").filter("lang = 'en'")
+    r = random.Random(4)
+    odd = [(None, t, "en") for t in [  # fold 0: judged, not learned from
+        base64.b64encode(r.randbytes(600)).decode(), "".join(r.choices("abcdefghijklmnopqrstuvwxyz", k=400)),
+        "Все люди рождаются свободными и равными в своем достоинстве и правах.", "人人生而自由,在尊严和权利上一律平等。", "12 34"]]
+    docs = sample.union(spark.createDataFrame(odd, sample.schema))
+    kept = {(x["doc_id"], x["text"]) for x in corpus_pipeline.language_id(spark, docs, SF_SMALL).collect()}
+    assert kept == {(x["doc_id"], x["text"]) for x in sample.collect()}
+
+
+def test_language_stage_without_a_learned_language(spark):
+    docs = spark.createDataFrame([(1, "the bird", None), (2, "12", None), (3, "a tree", None), (4, None, None)],
+                                 "doc_id long, text string, lang string")
+    assert sorted(x["doc_id"] for x in corpus_pipeline.language_id(spark, docs, SF_SMALL).collect()) == [1, 3]
