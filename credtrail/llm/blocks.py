@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -12,6 +13,27 @@ from pyspark.sql import functions as F
 from credtrail.llm.common import write_snapshot
 
 
+#: stands for the id where a query has fewer answers
+NO_ROW = np.iinfo(np.int64).max
+
+
+def merge_best(keys: np.ndarray, ids: np.ndarray, at: np.ndarray, new_keys: np.ndarray, new_ids: np.ndarray) -> None:
+    """Merge new entries (key, id), each of query ``at``, into the k smallest of every query, in place.
+
+    ``keys`` and ``ids`` (queries x k) are sorted by key, then id."""
+    if not len(at):
+        return
+    k = keys.shape[1]
+    mine = np.unique(at)
+    query = np.concatenate([np.repeat(mine, k), at])
+    key, row = np.concatenate([keys[mine].ravel(), new_keys]), np.concatenate([ids[mine].ravel(), new_ids])
+    by = np.lexsort((row, key, query))
+    query = query[by]
+    head = np.flatnonzero(np.r_[True, query[1:] != query[:-1]])
+    keep = by[(head[:, None] + np.arange(k)).ravel()]
+    keys[mine], ids[mine] = key[keep].reshape(-1, k), row[keep].reshape(-1, k)
+
+
 def numbered(rows: DataFrame, name: str) -> DataFrame:
     """``rows`` with a ``number`` of its own for each row, also for equal ones, as a written table."""
     return write_snapshot(rows.withColumn("number", F.monotonically_increasing_id()), name)

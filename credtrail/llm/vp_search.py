@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from credtrail.llm.blocks import answered, merged, numbered
+from credtrail.llm.blocks import NO_ROW, answered, merge_best, merged, numbered
 from credtrail.llm.common import read_table, ship_package, write_snapshot
 
 K = 10
@@ -109,7 +109,7 @@ class Search:
         self.q, self.own, self.k, self.factor = queries, own, k, factor
         self.reach = np.array(reach, float)  # a neighbour is at most this far away
         self.norms, self.q_norms = (x ** 2).sum(axis=1), (queries ** 2).sum(axis=1)
-        self.best, self.ids = np.full((len(queries), k), np.inf), np.full((len(queries), k), np.iinfo(np.int64).max)
+        self.best, self.ids = np.full((len(queries), k), np.inf), np.full((len(queries), k), NO_ROW)
         self.first = np.full(len(queries), -1)
         self.measured = 0
 
@@ -131,15 +131,8 @@ class Search:
         i, j = active[i[other]], j[other]
         if not len(i):
             return
-        d, ids = apart(x[j], self.q[i]), self.row_ids[start + j]
+        merge_best(self.best, self.ids, i, apart(x[j], self.q[i]), self.row_ids[start + j])
         mine = np.unique(i)
-        at = np.concatenate([np.repeat(mine, self.k), i])
-        d, ids = np.concatenate([self.best[mine].ravel(), d]), np.concatenate([self.ids[mine].ravel(), ids])
-        by = np.lexsort((ids, d, at))
-        at = at[by]
-        head = np.flatnonzero(np.r_[True, at[1:] != at[:-1]])
-        keep = by[(head[:, None] + np.arange(self.k)).ravel()]
-        self.best[mine], self.ids[mine] = d[keep].reshape(-1, self.k), ids[keep].reshape(-1, self.k)
         self.reach[mine] = np.minimum(self.reach[mine], self.best[mine, -1])
 
     def descend(self) -> None:
