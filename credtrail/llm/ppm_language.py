@@ -7,13 +7,16 @@ among ``n`` bytes of ``d`` kinds costs -log2(c / (n + d)) bits; an unseen one co
 A context that was never seen costs nothing to leave. The statistics are frozen after training,
 so the code length of a whole text under each language is an exact sum, and the shortest wins.
 
-Frozen costs depend on the longest known context and the next byte only. They are tabulated
-once (contexts x bytes x languages), so scoring is one table look-up per byte for all languages
-together. A-Z are lower-cased; each text begins in the context of spaces.
+Frozen costs depend on the longest known context and the next byte only. They are tabulated once
+for each language (its contexts x its bytes), so scoring is one table look-up per byte and language. The tables
+are files that the workers map into memory, one for each language: they grow with the number of
+languages, the driver holds one at a time, and the workers of an executor share their pages. A-Z
+are lower-cased; each text begins in the context of spaces.
 
-Training uses at most ``MAX_DOCS`` documents and about ``MAX_BYTES`` of text per language,
-chosen by a hash of the id; the counting is a Spark aggregation and its result is bounded by
-that sample, not by the corpus.
+Training uses about ``MAX_DOCS`` documents and ``MAX_BYTES`` of text per language, chosen by a
+hash of id and text, and at least one document of every language, the first by that hash, however long it is. Equal
+rows teach once. The counting is a Spark aggregation and its result is bounded by that sample, not
+by the corpus.
 
 Defined cases: null text, empty text and text without a letter give ``und`` with score 0; so do
 all texts if nothing could be learned. Rows without text or language teach nothing. Ties go to
@@ -32,13 +35,18 @@ passes: without a measure nothing is rejected.
 
 from __future__ import annotations
 
+import io
+import os
+
 import numpy as np
 import pyarrow as pa
+from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from credtrail.llm.common import fold_of, read_table, ship_package, slices, text_bytes
+from credtrail.llm.common import (fold_of, read_table, scratch_path, ship_package, slices, text_bytes, write_shared,
+                                  write_snapshot)
 from credtrail.llm.words import FOLD_ASCII
 
 ORDER = 3
@@ -65,18 +73,25 @@ def padded(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 # --- training -------------------------------------------------------------------------------
 
+def chosen(labelled: DataFrame, text: str, lang: str, doc_id: str, max_docs: int, max_bytes: int) -> DataFrame | None:
+    """(lang, text) of the training rows; None without any."""
+    rows = labelled.select(F.col(lang).cast("string").alias("lang"), F.col(text).alias("text"),
+                           F.xxhash64(F.col(doc_id), F.col(text), F.lit("ppm")).alias("h")) \
+        .filter("lang is not null and text is not null")
+    sizes = rows.groupBy("lang").agg(F.count("*").alias("n"), F.sum(F.octet_length("text")).alias("bytes"),
+                                     F.min(F.pmod("h", F.lit(1_000_000))).alias("first"))
+    share = F.least(F.lit(max_docs) / F.col("n"), F.lit(max_bytes) / F.greatest("bytes", F.lit(1))) * 1_000_000
+    limits = sizes.select("lang", F.greatest(share, F.col("first") + 0.5).alias("below"))  # one row a language
+    sample = rows.join(F.broadcast(limits), "lang").filter(F.pmod("h", F.lit(1_000_000)) < F.col("below"))
+    return sample.dropDuplicates(["lang", "h"]).select("lang", "text")
+
+
 def learn(labelled: DataFrame, text: str = "text", lang: str = "lang", doc_id: str = "doc_id",
           max_docs: int = MAX_DOCS, max_bytes: int = MAX_BYTES) -> dict:
-    """The frozen model of the languages in ``labelled``."""
-    ship_package(labelled.sparkSession)
-    rows = labelled.select(F.col(lang).cast("string").alias("lang"), F.col(text).alias("text"),
-                           F.xxhash64(F.col(doc_id), F.lit("ppm")).alias("h")).filter("lang is not null and text is not null")
-    sizes = rows.groupBy("lang").agg(F.count("*").alias("n"), F.sum(F.octet_length("text")).alias("bytes")).collect()
-    if not sizes:
-        return {"languages": []}
-    share = F.create_map(*[F.lit(x) for r in sizes for x in (
-        r["lang"], min(1.0, max_docs / r["n"], max_bytes / max(r["bytes"], 1)))])
-    sample = rows.filter(F.pmod("h", F.lit(1_000_000)) < share[F.col("lang")] * 1_000_000).select("lang", "text")
+    """The frozen model of the languages in ``labelled``: {"languages": names, "files": of each the path
+    of its table}. Every language with a text is in it."""
+    spark = labelled.sparkSession
+    ship_package(spark)
 
     def count(batches):
         for batch in batches:
@@ -93,68 +108,96 @@ def learn(labelled: DataFrame, text: str = "text", lang: str = "lang", doc_id: s
                     "lang": pa.array([names[i] for i in (both >> 32).tolist()], pa.string()),
                     "gram": pa.array(both & 0xFFFFFFFF), "n": pa.array(n.astype(np.int64))})
 
-    grams = (sample.mapInArrow(count, "lang string, gram long, n long")
-             .groupBy("lang", "gram").agg(F.sum("n").alias("n")).toPandas())
-    return freeze({x: (g["gram"].to_numpy(), g["n"].to_numpy()) for x, g in grams.groupby("lang")})
+    grams = write_snapshot(chosen(labelled, text, lang, doc_id, max_docs, max_bytes)
+                           .mapInArrow(count, "lang string, gram long, n long")
+                           .groupBy("lang", "gram").agg(F.sum("n").alias("n")), "ppm-grams")
+    languages = sorted(r["lang"] for r in grams.select("lang").distinct().collect())
+    folder, files = scratch_path(spark, "ppm-model"), []
+    for name in languages:  # one language's table at a time
+        own = grams.filter(F.col("lang") == name).select("gram", "n").toArrow()
+        files.append(write_shared(folder, ".ppm", [table_bytes(freeze_one(own["gram"].to_numpy(), own["n"].to_numpy()))]))
+    return {"languages": languages, "files": files}
 
 
-def freeze(counts: dict) -> dict:
-    """Cost tables from each language's counts of (ORDER + 1)-grams of bytes.
+def freeze_one(gram: np.ndarray, n: np.ndarray) -> dict:
+    """Cost table of a language from its counts of (ORDER + 1)-grams of bytes.
 
-    ``context``: for every ORDER known byte classes, the row of the longest context that any
-    language has seen; ``cost``: for each such row, byte class and language the bits.
-    """
-    languages = sorted(counts)
-    if not languages:
-        return {"languages": []}
-    used = np.unique(np.concatenate([g & 0xFF for g, _ in counts.values()] + [[0x20]]))
+    ``context``: for every ORDER byte classes, the row of the longest context that was seen;
+    ``cost``: for each such row and byte class the bits."""
+    used = np.unique(np.append(gram & 0xFF, 0x20))
     kinds = len(used) + 1  # class 0: bytes that training has not seen
     classes = np.zeros(256, np.int32)
     classes[used] = np.arange(1, kinds)
-    coded = {}
-    for name, (gram, n) in counts.items():
-        code = np.zeros(len(gram), np.int64)
-        for k in range(ORDER, -1, -1):
-            code = code * kinds + classes[(gram >> (8 * k)) & 0xFF]
-        coded[name] = (code, n.astype(np.float64))
-    cost = [np.full((1, kinds, len(languages)), 8.0)]  # below order 0: 8 bits a byte
+    code = np.zeros(len(gram), np.int64)
+    for k in range(ORDER, -1, -1):
+        code = code * kinds + classes[(gram >> (8 * k)) & 0xFF]
+    n = n.astype(np.float64)
+    cost = [np.full((1, kinds), 8.0)]  # below order 0: 8 bits a byte
     rows = np.zeros(1, np.int64)  # of each context of the order before, its row in cost
     for order in range(ORDER + 1):
-        tally = {}
-        for name, (code, n) in coded.items():
-            key, inverse = np.unique(code % kinds ** (order + 1), return_inverse=True)
-            tally[name] = (key, np.bincount(inverse, n))
-        contexts = np.unique(np.concatenate([key // kinds for key, _ in tally.values()]))
+        key, inverse = np.unique(code % kinds ** (order + 1), return_inverse=True)
+        tally = np.bincount(inverse, n)
+        contexts, row = np.unique(key // kinds, return_inverse=True)
         rows = rows[np.arange(kinds ** order) % kinds ** max(order - 1, 0)]
         table = np.concatenate(cost)[rows[contexts]]
-        for j, name in enumerate(languages):
-            key, n = tally[name]
-            row = np.searchsorted(contexts, key // kinds)
-            total, distinct = np.bincount(row, n, len(contexts)), np.bincount(row, minlength=len(contexts))
-            seen = total > 0
-            table[seen, :, j] += np.log2((total[seen] + distinct[seen]) / distinct[seen])[:, None]
-            table[row, key % kinds, j] = np.log2((total[row] + distinct[row]) / n)
+        total, distinct = np.bincount(row, tally), np.bincount(row)
+        table += np.log2((total + distinct) / distinct)[:, None]
+        table[row, key % kinds] = np.log2((total[row] + distinct[row]) / tally)
         rows[contexts] = sum(map(len, cost)) + np.arange(len(contexts))
         cost.append(table)
-    return {"languages": languages, "classes": classes, "kinds": kinds, "context": rows.astype(np.int32),
+    return {"classes": classes, "kinds": kinds, "context": rows.astype(np.int32),
             "cost": np.concatenate(cost).astype(np.float32)}
 
 
+def freeze(counts: dict) -> dict:
+    """A model in memory from each language's (grams, counts)."""
+    languages = sorted(counts)
+    return {"languages": languages, "tables": [freeze_one(*counts[x]) for x in languages]}
+
+
+def table_bytes(table: dict) -> bytes:
+    """A table as one .npy array of 32-bit words: kinds, classes, contexts, costs."""
+    out = io.BytesIO()
+    np.save(out, np.concatenate([np.array([table["kinds"]], np.int32), table["classes"], table["context"],
+                                 table["cost"].ravel().view(np.int32)]))
+    return out.getvalue()
+
+
+def mapped_table(path: str) -> dict:
+    words = np.load(path, mmap_mode="r").view(np.ndarray)
+    kinds = int(words[0])
+    ends = 257 + kinds ** ORDER
+    return {"kinds": kinds, "classes": np.array(words[1:257]), "context": words[257:ends],
+            "cost": words[ends:].view(np.float32).reshape(-1, kinds)}
+
+
+def send(spark: SparkSession, model: dict) -> dict:
+    """The model as the workers open it: names of files that Spark brings to every executor."""
+    for path in model.get("files", []):
+        spark.sparkContext.addFile(path if "://" in path else f"file://{path}")
+    return {"languages": model["languages"], "names": [os.path.basename(f) for f in model.get("files", [])]}
+
+
+def opened(sent: dict) -> dict:
+    return {"languages": sent["languages"], "tables": [mapped_table(SparkFiles.get(name)) for name in sent["names"]]}
+
+
 # --- scoring --------------------------------------------------------------------------------
 
 def code_lengths(column: pa.Array, model: dict) -> np.ndarray:
     """Bits of each whole text under each language."""
     wide, at, off = padded(column)
-    code = model["classes"][wide]
-    context = np.zeros(len(at), np.int32)
-    for k in range(ORDER, 0, -1):
-        context *= model["kinds"]
-        context += code[at - k]
-    bits = model["cost"][model["context"][context], code[at]]
     out = np.zeros((len(off) - 1, len(model["languages"])))
     full = np.flatnonzero(np.diff(off))
-    if len(full):
-        out[full] = np.add.reduceat(bits, off[full], axis=0, dtype=np.float64)
+    for j, table in enumerate(model["tables"]):
+        code = table["classes"][wide]
+        context = np.zeros(len(at), np.int32)
+        for k in range(ORDER, 0, -1):
+            context *= table["kinds"]
+            context += code[at - k]
+        if len(full):
+            bits = table["cost"][table["context"][context], code[at]]
+            out[full, j] = np.add.reduceat(bits, off[full], dtype=np.float64)
     return out
 
 
@@ -166,12 +209,12 @@ def predict(df: DataFrame, model: dict, text: str = "text") -> DataFrame:
     """``df`` with ``lang_pred`` and ``score`` for every row."""
     spark = df.sparkSession
     ship_package(spark)
-    shared = spark.sparkContext.broadcast(model)  # bounded by the training sample
+    sent = send(spark, model)
     keep = [f for f in df.schema.fields if f.name not in RESULTS]
     names = [f.name for f in keep]
 
     def run(batches):
-        frozen = shared.value
+        frozen = opened(sent)
         languages = np.array([*frozen["languages"], "und"], object)
         for batch in batches:
             for part in slices(batch, text, SLICE_BYTES):
@@ -196,7 +239,7 @@ def usual_bits(labelled: DataFrame, model: dict, text: str = "text", lang: str =
     if not model["languages"]:
         return {}
     ship_package(labelled.sparkSession)
-    shared = labelled.sparkSession.sparkContext.broadcast(model)
+    sent = send(labelled.sparkSession, model)
     rows = labelled.select(F.col(lang).cast("string").alias("lang"), F.col(text).alias("text"),
                            F.pmod(F.xxhash64(F.col(doc_id), F.lit("bits")), F.lit(1_000_000)).alias("h")) \
         .filter(F.col("lang").isin(model["languages"]) & (F.octet_length("text") > 0))
@@ -207,7 +250,7 @@ def usual_bits(labelled: DataFrame, model: dict, text: str = "text", lang: str =
     sample = rows.filter(F.col("h") < share[F.col("lang")] * 1_000_000).select("lang", "text")
 
     def run(batches):
-        frozen = shared.value
+        frozen = opened(sent)
         for batch in batches:
             for part in slices(batch, "text", SLICE_BYTES):
                 column = part.column("text")
@@ -227,19 +270,19 @@ def known_language(df: DataFrame, model: dict, usual: dict, text: str = "text")
     spark = df.sparkSession
     ship_package(spark)
     limits = np.array([min(MOST_BITS, LIMIT_FACTOR * usual[x]) if x in usual else np.inf for x in model["languages"]])
-    shared = spark.sparkContext.broadcast((model, limits))
+    sent = send(spark, model)
     keep = [f for f in df.schema.fields if f.name != "known"]
     names = [f.name for f in keep]
 
     def run(batches):
-        frozen, most = shared.value
+        frozen = opened(sent)
         for batch in batches:
             for part in slices(batch, text, SLICE_BYTES):
                 column = part.column(text)
                 known = np.fromiter(map(has_letter, (x.as_py() for x in column)), bool, part.num_rows)
                 if frozen["languages"]:
                     bits = code_lengths(column, frozen)
-                    known &= bits.min(axis=1) <= most[bits.argmin(axis=1)] * (np.diff(text_bytes(column)[1]) + SHORT_BYTES)
+                    known &= bits.min(axis=1) <= limits[bits.argmin(axis=1)] * (np.diff(text_bytes(column)[1]) + SHORT_BYTES)
                 yield pa.RecordBatch.from_arrays([*(part.column(c) for c in names), pa.array(known)], [*names, "known"])
 
     return df.select(*names).mapInArrow(run, T.StructType([*keep, T.StructField("known", T.BooleanType())]))
