@@ -2,24 +2,27 @@
 
 Labels are known for documents only. A document is a bag of sentences; each sentence has a
 logistic score p = sigmoid(bias + the weights of its words), and the bag's score is their
-noisy-or, 1 - product(1 - p). Training fits the weights to the document labels through that
-product, so it finds for itself which sentences make a document toxic; the same sentence scores
+noisy-or, 1 - product(1 - p). A sentence without evidence has p0 = sigmoid(bias); at most
+``FLOOR_SENTENCES`` such factors count, and all other sentences count by (1 - p) / (1 - p0), so that a
+document does not become toxic by its length. Training fits the weights to the document labels through
+that product, so it finds for itself which sentences make a document toxic; the same sentence scores
 then locate them.
 
 A word counts as itself and by its beginnings of 4, 5 and 6 letters, hashed into ``BUCKETS``
 weights. Sentences end at . ! ? and line ends. A-Z are lower-cased; words are runs of ASCII
 letters, digits and bytes above 127.
 
-Training uses about ``MAX_DOCS`` labelled documents and ``MAX_BYTES`` of text of each label, chosen
-by a hash of the id: the ids are chosen from the labels alone, and that bounded list is broadcast
-to find their texts, so no text is shuffled. Features are made on the executors, the fit is numpy
+Training uses about ``MAX_DOCS`` labelled documents and ``MAX_BYTES`` of text of each label: the
+ids are chosen by a hash from the distinct labels alone, and that bounded list is broadcast to find
+their texts, so no text is shuffled. Equal texts of one id teach once; of the texts found, a hash of id and
+text keeps as many as the bounds allow, and the first by it of each label in any case. Features are made on the executors, the fit is numpy
 over the sample (buckets in fewer than ``MIN_DOCS`` of its documents are left out; weights can't be
 negative, as evidence only adds up), and each label is weighted back to its share of all labelled
 rows. Scoring covers every whole text.
 
 Defined cases: a null, empty or wordless text scores 0; without both labels in the training rows
 every text scores 0. A null label teaches nothing. Rows with one id and several labels teach
-each. Columns named like the results are replaced; all others pass through.
+each; repeated rows of ``labels`` count once. Columns named like the results are replaced; all others pass through.
 """
 
 from __future__ import annotations
@@ -42,6 +45,7 @@ EPOCHS = 60
 MIN_DOCS = 5
 BIAS = -9.0
 L2 = 2e-6
+FLOOR_SENTENCES = 100
 THRESHOLD = 0.5
 RESULTS = ("score", "offending")
 #: letters, digits and all bytes of characters outside ASCII
@@ -74,25 +78,28 @@ def sentences_of(data: np.ndarray, off: np.ndarray):
 def sample_texts(docs: DataFrame, labels: DataFrame, label: str, max_docs: int, max_bytes: int):
     """((label, text, h) of the sampled documents as a written table, {label: weight of one});
     None without both labels."""
-    known = labels.select(F.col("doc_id"), F.col(label).cast("int").alias("label"),
-                          F.pmod(F.xxhash64("doc_id", F.lit("mil")), F.lit(1_000_000)).alias("h")) \
-        .filter("label in (0, 1) and doc_id is not null")
+    known = labels.select(F.col("doc_id"), F.col(label).cast("int").alias("label")) \
+        .filter("label in (0, 1) and doc_id is not null").distinct() \
+        .withColumn("h", F.pmod(F.xxhash64("doc_id", F.lit("mil")), F.lit(1_000_000)))
     counts = {r["label"]: r["count"] for r in known.groupBy("label").count().collect()}
     if len(counts) < 2:
         return None
 
-    def within(share: dict):
-        return F.col("h") < F.when(F.col("label") == 1, share[1]).otherwise(share[0]) * 1_000_000
+    def of_label(value: dict):
+        return F.when(F.col("label") == 1, value[1]).otherwise(value[0])
 
     share = {k: min(1.0, max_docs / n) for k, n in counts.items()}
-    picked = F.broadcast(known.filter(within(share)))  # about 2 * max_docs short rows
+    picked = F.broadcast(known.filter(F.col("h") < of_label(share) * 1_000_000).drop("h"))  # about 2 * max_docs distinct rows
+    row = F.pmod(F.xxhash64("doc_id", "text", F.lit("row")), F.lit(1_000_000_000))
     found = write_snapshot(docs.select("doc_id", "text").filter("text is not null").join(picked, "doc_id")
-                           .select("label", "text", "h"), "mil-sample")
-    sizes = {r["label"]: r["bytes"] for r in found.groupBy("label").agg(F.sum(F.octet_length("text")).alias("bytes")).collect()}
+                           .select("label", "text", row.alias("h")).dropDuplicates(["label", "h"]), "mil-sample")
+    sizes = {r["label"]: r for r in found.groupBy("label").agg(
+        F.count("*").alias("n"), F.sum(F.octet_length("text")).alias("bytes"), F.min("h").alias("first")).collect()}
     if len(sizes) < 2:
         return None
-    share = {k: share[k] * min(1.0, max_bytes / max(sizes[k], 1)) for k in share}
-    return found.filter(within(share)), {k: 1 / v for k, v in share.items()}
+    kept = {k: min(1.0, 1.5 * max_docs / r["n"], max_bytes / max(r["bytes"], 1)) for k, r in sizes.items()}
+    below = {k: max(kept[k] * 1e9, sizes[k]["first"] + 0.5) for k in kept}
+    return found.filter(F.col("h") < of_label(below)), {k: 1 / (share[k] * min(1.0, below[k] / 1e9)) for k in kept}
 
 
 def learn(docs: DataFrame, labels: DataFrame, label: str = "toxic", max_docs: int = MAX_DOCS,
@@ -135,7 +142,7 @@ def learn(docs: DataFrame, labels: DataFrame, label: str = "toxic", max_docs: in
 
 
 def fit(labels: np.ndarray, feats: list, lens: list, weight: dict, epochs: int = EPOCHS) -> dict:
-    """Fit by Adam on the exact noisy-or likelihood of all sampled bags."""
+    """Fit by Adam on the noisy-or likelihood of all sampled bags."""
     size = np.array([len(x) for x in lens])
     flat = np.concatenate(feats)
     length = np.concatenate(lens)
@@ -148,6 +155,7 @@ def fit(labels: np.ndarray, feats: list, lens: list, weight: dict, epochs: int =
     used, flat = np.unique(flat[known], return_inverse=True)
     flat = flat.astype(np.int32)
     bag = np.repeat(np.arange(len(labels)), size)
+    floor = np.minimum(size, FLOOR_SENTENCES)
     importance = np.array([weight[int(k)] for k in labels])
     importance = importance / importance.sum()
     w, bias = np.zeros(len(used)), BIAS
@@ -155,11 +163,13 @@ def fit(labels: np.ndarray, feats: list, lens: list, weight: dict, epochs: int =
     for step in range(1, epochs + 1):
         z = bias + np.bincount(sentence, w[flat], len(length))
         p = 1 / (1 + np.exp(-np.clip(z, -40, 40)))
-        total = np.bincount(bag, np.logaddexp(0, z), len(labels))
+        base, p0 = np.logaddexp(0, bias), 1 / (1 + np.exp(-bias))
+        total = np.bincount(bag, np.logaddexp(0, z) - base, len(labels)) + base * floor
         clean = np.exp(-total)
         pull = np.where(labels == 1, -clean / np.maximum(1 - clean, 1e-9), 1.0) * importance
-        g = pull[bag] * p
-        grad = np.append(np.bincount(flat, g[sentence], len(used)) + L2 * w, g.sum())
+        g = pull[bag]
+        grad = np.append(np.bincount(flat, (g * p)[sentence], len(used)) + L2 * w,
+                         (g * (p - p0)).sum() + (pull * floor).sum() * p0)
         m = 0.9 * m + 0.1 * grad
         v = 0.99 * v + 0.01 * grad ** 2
         move = 0.25 * (m / (1 - 0.9 ** step)) / (np.sqrt(v / (1 - 0.99 ** step)) + 1e-6)
@@ -167,7 +177,7 @@ def fit(labels: np.ndarray, feats: list, lens: list, weight: dict, epochs: int =
         bias -= move[-1]
     weights = np.zeros(BUCKETS, np.float32)
     weights[used] = w
-    return {"weights": weights, "bias": float(bias)}
+    return {"weights": weights, "bias": float(bias), "base": float(np.logaddexp(0, bias))}
 
 
 # --- scoring --------------------------------------------------------------------------------
@@ -186,7 +196,9 @@ def sentence_scores(data: np.ndarray, off: np.ndarray, model: dict, cache: TwoGe
 
 def score(df: DataFrame, model: dict | None, text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """``df`` with ``score`` and ``offending``: (byte offset of the first word, probability) of
-    every sentence whose own probability reaches ``threshold``."""
+    every sentence whose own probability reaches ``threshold``. ``base`` of the model is -log(1 - p) of a
+    sentence without evidence; it is taken off the sentences beyond ``FLOOR_SENTENCES`` (a model without it
+    has the plain product)."""
     spark = df.sparkSession
     ship_package(spark)
     shared = spark.sparkContext.broadcast(model)  # BUCKETS weights whatever the input
@@ -202,7 +214,9 @@ def score(df: DataFrame, model: dict | None, text: str = "text", threshold: floa
             for part in slices(batch, text, 2 << 20):
                 data, off = text_bytes(part.column(text))
                 z, row, sentence, at = sentence_scores(data, off, fitted, cache)
-                total = np.bincount(row, np.logaddexp(0, z), part.num_rows)
+                base = fitted.get("base", 0.0)
+                total = np.bincount(row, np.maximum(np.logaddexp(0, z) - base, 0), part.num_rows)
+                total += base * np.minimum(np.bincount(row, minlength=part.num_rows), FLOOR_SENTENCES)
                 found: list = [[] for _ in range(part.num_rows)]
                 p = 1 / (1 + np.exp(-np.clip(z, -700, 700)))
                 firsts = np.searchsorted(sentence, np.arange(len(row)))
