@@ -20,14 +20,16 @@ The job, each step a written table:
    compared as well, but only those that can be links. For that, every document left in such a
    bucket gets the number of its shingles that occur in another component there, which bounds
    what it can share with any of them; who can't reach the threshold with it leaves, as long as a tenth
-   does, and pairs are bounded in the same way (and by their sizes). The bounds are exact, so no
-   link is lost; pairs inside a component can't change the result; no bucket is capped or written
-   out as all pairs.
+   does. That bound and its own size also limit the sizes a partner can have: each document asks only
+   for partners that are no larger than itself, in size classes of ``STEP`` within that limit, so pages of one
+   template that differ too much never meet, however many they are. The bounds are exact, so no link is
+   lost; pairs inside a component can't change the result; no bucket is capped or written out as all
+   pairs.
 
 Joins read written tables on both sides, so that adaptive execution can split a hot key.
 
 Defined cases: texts without words are linked with nothing; with fewer than five words the whole
-sequence is the one shingle. Rows with a null doc_id get no component (null) and are kept.
+sequence is the one shingle; a very long text is cut like any other. Rows with a null doc_id get no component (null) and are kept.
 Rows of one doc_id are compared by their own texts: equal texts share a component, different ones
 only if they are linked. A component is named by its smallest doc_id, so components of different
 texts of that doc_id have one name; ``kept`` tells them apart: it holds for the rows whose doc_id
@@ -36,6 +38,8 @@ and text represent the component. Only doc_id and text are read.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -49,6 +53,7 @@ SHINGLE = 5
 TERMS = 12
 WIDTH = 3
 PERCENT = 85
+STEP = 1.04
 
 
 def sub_keys(sets: list[np.ndarray], terms: int = TERMS) -> np.ndarray:
@@ -145,6 +150,35 @@ def _able(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return ids.join(most, "id").filter(f"100 * most >= {percent} * n").select("id", "most")
 
 
+def size_class(n: Column) -> Column:
+    return F.floor(F.log(n.cast("double")) / math.log(STEP)).cast("int")
+
+
+def pairs_across(by_sub: DataFrame, percent: int, terms: int) -> DataFrame:
+    """(a, b) of the pairs of different components that share a sub-key of both collections and
+    may reach the threshold, from (id, n, component, most, keys, i, u: sub-key i of the first collection).
+
+    A partner of size m shares at most ``most`` shingles, so 100 * most >= percent * (n + m - most): that is
+    the largest m a document asks for, and percent * n / 100 the smallest. The larger one of a pair asks."""
+    own = [F.col(c).alias(c + "_a") for c in ("id", "n", "component", "most", "keys")]
+    largest = F.least(F.col("n"), F.floor((100 + percent) * F.col("most") / percent) - F.col("n"))
+    smallest = F.greatest(F.ceil(percent * F.col("n") / 100), F.lit(1))
+    asks = by_sub.withColumn("largest", largest.cast("long")).withColumn("smallest", smallest.cast("long")) \
+        .filter("largest >= smallest") \
+        .select("u", "i", "largest", "smallest", *own,
+                F.explode(F.sequence(size_class(F.col("smallest")), size_class(F.col("largest")))).alias("class"))
+    gives = by_sub.select("u", size_class(F.col("n")).alias("class"),
+                          *[F.col(c).alias(c + "_b") for c in ("id", "n", "component", "most", "keys")])
+    most = F.least("most_a", "most_b")
+    reach = 100 * most >= percent * (F.col("n_a") + F.col("n_b") - most)
+    once = (F.col("n_b") < F.col("n_a")) | ((F.col("n_b") == F.col("n_a")) & (F.col("id_b") < F.col("id_a")))
+    first = F.expr(" AND ".join(f"(i <= {t} OR keys_a[{t}] <> keys_b[{t}])" for t in range(terms)))
+    meets = F.expr(" OR ".join(f"keys_a[{t}] = keys_b[{t}]" for t in range(terms, 2 * terms)))
+    return asks.join(gives, ["u", "class"]).filter("n_b between smallest and largest and component_a <> component_b") \
+        .filter(once).filter(reach).filter(first).filter(meets) \
+        .select(F.least("id_a", "id_b").alias("a"), F.greatest("id_a", "id_b").alias("b")).distinct()
+
+
 def near_duplicates(docs: DataFrame, percent: int = PERCENT, terms: int = TERMS) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) of every row of ``docs`` (doc_id, text);
     documents are linked if 100 * shared shingles >= percent * all shingles of the two. A lower
@@ -206,15 +240,7 @@ def labelled(docs: DataFrame, percent: int = PERCENT, terms: int = TERMS) -> Dat
     # collection's, and counted at the first of those they share
     left = unsettled.select("id", "n", "component", "most").distinct().join(firsts.select("id", "keys"), "id")
     by_sub = write_snapshot(left.select("*", F.posexplode(F.slice("keys", 1, terms)).alias("i", "u")), "near-by-sub")
-    one, two = (by_sub.select("u", "i", *[F.col(c).alias(c + x) for c in ("id", "n", "component", "most", "keys")])
-                for x in ("_a", "_b"))
-    most = F.least("most_a", "most_b")
-    reach = 100 * most >= percent * (F.col("n_a") + F.col("n_b") - most)
-    first = F.expr(" AND ".join(f"(i <= {t} OR keys_a[{t}] <> keys_b[{t}])" for t in range(terms)))
-    meets = F.expr(" OR ".join(f"keys_a[{t}] = keys_b[{t}]" for t in range(terms, 2 * terms)))
-    across = write_snapshot(
-        one.join(two.drop("i"), "u").filter("component_a < component_b").filter(reach).filter(first).filter(meets)
-        .select(F.least("id_a", "id_b").alias("a"), F.greatest("id_a", "id_b").alias("b")).distinct(), "near-across")
+    across = write_snapshot(pairs_across(by_sub, percent, terms), "near-across")
     rest = across.join(pairs, ["a", "b"], "left_anti")
     more = write_snapshot(_linked(rest, sets, percent), "near-more-links")
     if not more.isEmpty():
