@@ -14,11 +14,13 @@ Candidates are confirmed exactly: the item's shingles that occur in the document
 share of the item's. ``THRESHOLD`` 0.8 of them make a hit. Words are runs of anything but white
 space, with A-Z lower-cased.
 
-The items' sketches and sets go to every executor, at most ``INDEX_BYTES`` of them at a time; a
-larger benchmark is searched in several passes over the documents, so no item is left out.
-Documents are not shuffled.
+The items' sketches and sets are indexed by Spark tasks in parts of about ``INDEX_BYTES``, each a file in
+the shared folder; the driver only has the paths. Every task searches its documents in pieces of up to
+``PIECE_BYTES`` of text against one part after the other, and holds one part at a time, so no item is
+left out and memory stays bounded. Documents are not shuffled.
 
 Defined cases: null, empty and wordless documents have no hits, and such items are never found;
+very long documents and items are read whole (a longer item makes a longer part);
 an item with fewer than five words is one shingle of all its words, so only a document with
 exactly those words contains it. Repeated items are all reported, repeated documents each. Columns
 named ``hits`` are replaced; all others pass through.
@@ -26,19 +28,22 @@ named ``hits`` are replaced; all others pass through.
 
 from __future__ import annotations
 
+import io
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from credtrail.llm.common import read_table, ship_package, slices
+from credtrail.llm.common import open_shared, read_table, scratch_path, ship_package, slices, write_shared, write_snapshot
 from credtrail.llm.words import mix, shingle_rows
 
 SHINGLE = 5
 THRESHOLD = 0.8
 HASHES = 64
 INDEX_BYTES = 64 << 20
+PIECE_BYTES = 16 << 20
 
 _XOR = mix(np.arange(1, HASHES + 1, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95))
 _MUL = mix(np.arange(1, HASHES + 1, dtype=np.uint64) * np.uint64(0xA0761D6478BD642F)) | np.uint64(1)
@@ -51,20 +56,27 @@ def size_class(n: int) -> int:
 
 def build_index(items: list[tuple[object, np.ndarray]]) -> dict:
     """Sketches of (item_id, distinct sorted shingles): for each class and hash the sorted
-    minima, the items of each, and which leading 16 bits occur."""
-    classes: dict = {}
-    for i, (_, own) in enumerate(items):
-        if len(own):
-            classes.setdefault(size_class(len(own)), []).append(i)
-    bands = {}
-    for c, members in classes.items():
-        for k in range(HASHES):
-            low = np.array([int(((items[i][1] ^ _XOR[k]) * _MUL[k]).min()) for i in members], np.uint64)
-            keys, group = np.unique(low, return_inverse=True)
+    minima, where the items of each begin in the list of members, the members, and which leading
+    16 bits occur."""
+    sizes = np.array([len(own) for _, own in items], np.int64)
+    full = np.flatnonzero(sizes)
+    bands: dict = {}
+    if not len(full):
+        return {"items": items, "classes": [], "bands": bands}
+    flat = np.concatenate([items[i][1] for i in full])
+    begin = np.cumsum(sizes[full]) - sizes[full]
+    of_class = np.array([size_class(n) for n in sizes[full]])
+    classes = sorted(set(of_class.tolist()))
+    for k in range(HASHES):
+        low = np.minimum.reduceat((flat ^ _XOR[k]) * _MUL[k], begin)
+        for c in classes:
+            members, minima = full[of_class == c], low[of_class == c]
+            order = np.argsort(minima, kind="stable")
+            keys, starts = np.unique(minima[order], return_index=True)
             near = np.zeros(1 << 16, bool)
             near[keys >> np.uint64(48)] = True
-            bands[c, k] = (keys, [[members[i] for i in np.flatnonzero(group == g)] for g in range(len(keys))], near)
-    return {"items": items, "classes": sorted(classes), "bands": bands}
+            bands[c, k] = (keys, np.append(starts, len(order)), members[order], near)
+    return {"items": items, "classes": classes, "bands": bands}
 
 
 def candidates(rows: list[np.ndarray], index: dict) -> set[tuple[int, int]]:
@@ -93,12 +105,12 @@ def candidates(rows: list[np.ndarray], index: dict) -> set[tuple[int, int]]:
             low = np.minimum.reduceat(low, begin)
             window = low.copy()
             window[paired] = np.minimum(low[paired], low[paired + 1])
-            keys, members, near = index["bands"][c, k]
+            keys, starts, members, near = index["bands"][c, k]
             likely = np.flatnonzero(near[window >> np.uint64(48)])
             at = np.searchsorted(keys, window[likely])
             same = keys[np.minimum(at, len(keys) - 1)] == window[likely]
             for r, g in np.unique(np.stack([row[likely[same]], at[same]], axis=1), axis=0).tolist():
-                found.update((r, i) for i in members[g])
+                found.update((r, i) for i in members[starts[g]:starts[g + 1]].tolist())
     return found
 
 
@@ -132,46 +144,67 @@ def item_sets(benchmark: DataFrame, text: str = "text", item_id: str = "item_id"
         run, "item_id long, n long, shingles binary").filter("n > 0")
 
 
+def index_parts(benchmark: DataFrame, index_bytes: int = INDEX_BYTES) -> list[str]:
+    """Files that hold all items with words, each about ``index_bytes`` of sets and sketches; a part is made by one task."""
+    spark = benchmark.sparkSession
+    items = write_snapshot(item_sets(benchmark), "bench-items")
+    total = items.agg(F.sum(8 * F.col("n") + 16 * HASHES)).first()[0] or 0
+    parts = int(total // index_bytes) + 1
+    folder = scratch_path(spark, "bench-index")
+
+    def write(key: tuple[pa.Scalar, ...], own: pa.Table) -> pa.Table:
+        rows = sorted(zip(own["item_id"].to_pylist(), own["shingles"].to_pylist(), strict=True),
+                      key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
+        out = io.BytesIO()
+        np.savez(out, ids=np.array([0 if i is None else i for i, _ in rows], np.int64),
+                 null=np.array([i is None for i, _ in rows]), sizes=np.array([len(s) // 8 for _, s in rows], np.int64),
+                 shingles=np.frombuffer(b"".join(s for _, s in rows), np.uint64))
+        return pa.table({"part": pa.array([key[0].as_py()], pa.int32()),
+                         "path": pa.array([write_shared(folder, ".items.npz", [out.getvalue()])])})
+
+    # an item goes to a part by its own content and, as it may repeat, by its row
+    dealt = items.withColumn("part", F.pmod(F.xxhash64("item_id", "shingles", F.monotonically_increasing_id()), F.lit(parts))
+                             .cast("int"))
+    made = write_snapshot(dealt.groupBy("part").applyInArrow(write, "part int, path string"), "bench-parts")
+    return [r["path"] for r in made.orderBy("part").collect()]
+
+
+def read_index(path: str) -> dict:
+    with open_shared(path) as f:
+        held = np.load(io.BytesIO(f.read_at(f.size(), 0)))
+    flat, ends = held["shingles"], np.cumsum(held["sizes"])
+    ids = [None if z else int(i) for i, z in zip(held["ids"], held["null"], strict=True)]
+    return build_index([(i, flat[e - n:e]) for i, e, n in zip(ids, ends.tolist(), held["sizes"].tolist(), strict=True)])
+
+
 def mark(docs: DataFrame, benchmark: DataFrame, text: str = "text", threshold: float = THRESHOLD,
          index_bytes: int = INDEX_BYTES) -> DataFrame:
     """``docs`` with ``hits``: the items each whole document contains
     (item_id, n_shared, n_item)."""
-    spark = docs.sparkSession
-    ship_package(spark)
-    items = item_sets(benchmark)
-    total = items.agg(F.sum(8 * F.col("n") + 16 * HASHES)).first()[0] or 0
-    passes = int(total // index_bytes) + 1
-    out = docs.select(*[c for c in docs.columns if c != "hits"])
-    for p in range(passes):
-        mine = items.filter(F.pmod(F.xxhash64("item_id", "shingles"), F.lit(passes)) == p) if passes > 1 else items
-        got = sorted((r["item_id"] is not None, r["item_id"] or 0, bytes(r["shingles"]), r["item_id"])
-                     for r in mine.collect())
-        index = build_index([(i, np.frombuffer(s, np.uint64)) for _, _, s, i in got])
-        out = _one_pass(out, spark.sparkContext.broadcast(index), text, threshold)
-    return out
-
-
-def _one_pass(df: DataFrame, shared, text: str, threshold: float) -> DataFrame:
-    keep = [f for f in df.schema.fields if f.name != "hits"]
+    ship_package(docs.sparkSession)
+    paths = index_parts(benchmark, index_bytes)
+    keep = [f for f in docs.schema.fields if f.name != "hits"]
     names = [f.name for f in keep]
     kind = pa.list_(pa.struct([("item_id", pa.int64()), ("n_shared", pa.int32()), ("n_item", pa.int32())]))
-    more = "hits" in df.columns
 
     def run(batches):
-        index = shared.value
+        held: dict = {}
         for batch in batches:
-            for part in slices(batch, text):
-                before = part.column("hits").to_pylist() if more else [[]] * part.num_rows
-                hits = [was + [{"item_id": index["items"][i][0], "n_shared": n, "n_item": size}
-                               for i, n, size in found]
-                        for was, found in zip(before, confirmed(shingle_rows(part.column(text), SHINGLE),
-                                                                index, threshold), strict=True)]
+            for part in slices(batch, text, PIECE_BYTES if len(paths) > 1 else 4 << 20):
+                rows = shingle_rows(part.column(text), SHINGLE)
+                hits: list = [[] for _ in rows]
+                for path in paths:
+                    if path not in held:
+                        held.clear()
+                        held[path] = read_index(path)
+                    for own, found in zip(hits, confirmed(rows, held[path], threshold), strict=True):
+                        own += [{"item_id": held[path]["items"][i][0], "n_shared": n, "n_item": size} for i, n, size in found]
                 yield pa.RecordBatch.from_arrays(
                     [*(part.column(c) for c in names), pa.array(hits, kind)], [*names, "hits"])
 
     spans = T.ArrayType(T.StructType([T.StructField("item_id", T.LongType()), T.StructField("n_shared", T.IntegerType()),
                                       T.StructField("n_item", T.IntegerType())]))
-    return df.select(*names, *["hits"] * more).mapInArrow(run, T.StructType([*keep, T.StructField("hits", spans)]))
+    return docs.select(*names).mapInArrow(run, T.StructType([*keep, T.StructField("hits", spans)]))
 
 
 def op8_benchmark_containment(spark: SparkSession, sf_dir: str) -> DataFrame:
