@@ -277,10 +277,12 @@ def write_token_files(df: DataFrame, tokenizer_path: str, end_id: int = 1, folde
     if clustered:
         docs = docs.withColumn("run", F.input_file_name())
     else:
+        # an id that many rows share is spread by their ids' hash, and by their row where those are equal too
         n = max(1, docs.rdd.getNumPartitions())
-        docs = (docs.repartitionByRange(n, F.col("doc_id").asc_nulls_first())
-                .withColumn("run", F.spark_partition_id().cast("string"))
-                .sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "ids"))
+        order = [F.col("doc_id").asc_nulls_first(), F.col("hash"), F.col("row")]
+        docs = (docs.withColumn("hash", F.xxhash64("ids")).withColumn("row", F.monotonically_increasing_id())
+                .repartitionByRange(n, *order).withColumn("run", F.spark_partition_id().cast("string"))
+                .sortWithinPartitions(*order).drop("hash", "row"))
 
     def run(batches):
         ids, names, tokens, origin = [], [], 0, None
