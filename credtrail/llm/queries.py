@@ -8,6 +8,7 @@ from credtrail.llm.forced_bpe import op5_bpe_forced_boundary
 from credtrail.llm.kd_sharding import op10_kd_sharding
 from credtrail.llm.minhash_dedup import OP6_SQL, op6_minhash_tensored
 from credtrail.llm.mtree_topk import OP2_SQL, op2_mtree_topk
+from credtrail.llm.pipeline import run
 from credtrail.llm.ppm_language import op9_ppm_language
 from credtrail.llm.prefix_trie import OP13_SQL, op13_prefix_trie
 from credtrail.llm.token_files import op4_frequency_ranked_token_files
@@ -34,10 +35,8 @@ QUERIES = {f.__name__: f for f in (
 
 
 def pipeline(spark, sf_dir):
-    """The stages of corpus_pipeline.py, which lies beside the package."""
-    import corpus_pipeline
-
-    return corpus_pipeline.run(spark, sf_dir)
+    """The five stages over ``documents``."""
+    return run(spark, sf_dir)
 
 
 QUERIES["pipeline"] = pipeline
