@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from credtrail.functions import scalars as S
+from credtrail.operators.bloom import anti_join
 from credtrail.operators.ids import with_dense_ids
-from credtrail.operators.joins import IN_LEFT, IN_RIGHT, full_outer_join, inner_join
+from credtrail.operators.joins import IN_LEFT, IN_RIGHT, full_outer_join
 from credtrail.session import write_snapshot
 
 JOIN_KEYS = ["supplier_gstin", "invoice_number"]
@@ -24,6 +25,11 @@ def _as_of(as_of) -> Column:
     return as_of
 
 
+def suffixed(df: DataFrame, suffix: str, shared: set[str]) -> DataFrame:
+    """``df`` with the ``suffix`` on the column names that both sides have."""
+    return df.select(*[F.col(c).alias(c + suffix if c in shared else c) for c in df.columns])
+
+
 def merge_invoices(pr: DataFrame, g2b: DataFrame, *, normalize: bool = True,
                    hot_keys="auto", **join_opts) -> DataFrame:
     """Full outer merge on (supplier_gstin, invoice_number), NULL keys matching.
@@ -35,8 +41,7 @@ def merge_invoices(pr: DataFrame, g2b: DataFrame, *, normalize: bool = True,
     shared = (set(pr.columns) & set(g2b.columns)) - set(JOIN_KEYS)
 
     def side(df: DataFrame, suffix: str) -> DataFrame:
-        cols = [F.col(c).alias(c + suffix if c in shared else c) for c in df.columns]
-        out = df.select(*cols)
+        out = suffixed(df, suffix, shared)
         if normalize:
             out = out.withColumn("invoice_number", S.normalize_invoice_number("invoice_number"))
         return out
@@ -124,64 +129,25 @@ def reconcile(pr: DataFrame, g2b: DataFrame, *, tolerance: float = S.DEFAULT_TOL
     return results_from_detail(detail, as_of=as_of, with_ids=with_ids)
 
 
-def missing_in_filings(pr: DataFrame, g2b: DataFrame) -> DataFrame:
+def missing_in_filings(pr: DataFrame, g2b: DataFrame, *, bloom=None) -> DataFrame:
     """Purchase rows with no filing on the normalised key (anti join).
 
     Only existence matters, so the other side is reduced to its distinct keys
-    first (combined map-side): a key repeated a million times is one row.
+    first (combined map-side): a key repeated a million times is one row. With ``bloom="auto"`` a
+    filter of those keys finds rows without a partner before the shuffle (``operators.bloom``).
     """
     l = pr.withColumn("_k", S.normalize_invoice_number("invoice_number"))
-    r = g2b.select(F.col("supplier_gstin").alias("_g"),
-                   S.normalize_invoice_number("invoice_number").alias("_rk")).distinct()
-    cond = l["supplier_gstin"].eqNullSafe(r["_g"]) & l["_k"].eqNullSafe(r["_rk"])
-    return l.join(r, cond, "left_anti").drop("_k")
+    r = g2b.select("supplier_gstin", S.normalize_invoice_number("invoice_number").alias("_rk"))
+    return anti_join(l, ["supplier_gstin", "_k"], r, ["supplier_gstin", "_rk"], bloom=bloom).drop("_k")
 
 
-def missing_in_register(pr: DataFrame, g2b: DataFrame) -> DataFrame:
+def missing_in_register(pr: DataFrame, g2b: DataFrame, *, bloom=None) -> DataFrame:
     """Filed rows with no purchase row on the normalised key (anti join)."""
-    return missing_in_filings(g2b, pr)
-
-
-def deletion_variants(c: Column, distance: int) -> Column:
-    """The text and every text that up to ``distance`` deletions make of it. Two texts within
-    that edit distance of each other have a variant in common."""
-    out = F.array(c)
-    for _ in range(distance):
-        shorter = F.flatten(F.transform(out, lambda t: F.transform(
-            F.sequence(F.lit(1), F.greatest(F.length(t), F.lit(1))),
-            lambda i: F.concat(F.substring(t, F.lit(1), i - 1), F.substring(t, i + 1, F.length(t))))))
-        out = F.array_distinct(F.concat(out, shorter))
-    return out
-
-
-def fuzzy_matches(pr: DataFrame, g2b: DataFrame, *, distance: int = 1,
-                  tolerance: float = S.DEFAULT_TOLERANCE, **join_opts) -> DataFrame:
-    """Second pass over what the exact reconciliation left over on both sides: rows of one
-    supplier whose normalised invoice numbers are within ``distance`` edits and whose tax differs
-    by less than ``tolerance``, one to one.
-
-    Candidates meet by an equi-join on (supplier, deletion variant), hot variants through the
-    grid, and are confirmed by the edit distance. A pair is kept if each is the other's best
-    (smallest distance, then tax difference, then ids). Rows without a supplier or number have
-    no fuzzy match.
-    """
-    def side(df: DataFrame, name: str, row_id: str, tax: Column) -> DataFrame:
-        number = S.normalize_invoice_number("invoice_number")
-        return (df.filter(F.col("supplier_gstin").isNotNull() & F.col("invoice_number").isNotNull())
-                .select(F.col("supplier_gstin").alias(f"{name}_gstin"), number.alias(f"{name}_number"),
-                        F.col(row_id), tax.alias(f"{name}_tax"),
-                        F.explode(deletion_variants(number, distance)).alias(f"{name}_variant")))
-
-    left = side(missing_in_filings(pr, g2b), "p", "purchase_invoice_id", F.col("total_tax"))
-    right = side(missing_in_register(pr, g2b), "g", "gstr2b_id", F.col("igst") + F.col("cgst") + F.col("sgst"))
-    left, right = write_snapshot(left, "fuzzy-left"), write_snapshot(right, "fuzzy-right")
-    met = inner_join(left, right, ["p_gstin", "p_variant"], ["g_gstin", "g_variant"], **join_opts)
-    pairs = (met.withColumn("edits", F.levenshtein("p_number", "g_number"))
-             .withColumn("tax_difference", F.abs(F.col("p_tax") - F.col("g_tax")))
-             .filter((F.col("edits") <= distance) & (F.col("tax_difference") < F.lit(tolerance)))
-             .select("purchase_invoice_id", "gstr2b_id", "edits", "tax_difference").distinct())
-    best = ["edits", "tax_difference"]
-    of_left = Window.partitionBy("purchase_invoice_id").orderBy(*best, "gstr2b_id")
-    of_right = Window.partitionBy("gstr2b_id").orderBy(*best, "purchase_invoice_id")
-    return (pairs.withColumn("_l", F.row_number().over(of_left)).withColumn("_r", F.row_number().over(of_right))
-            .filter("_l = 1 and _r = 1").drop("_l", "_r"))
+    return missing_in_filings(g2b, pr, bloom=bloom)
+
+
+def fuzzy_matches(pr: DataFrame, g2b: DataFrame, **options) -> DataFrame:
+    """The second pass of ``operators.matching``, which builds on this module."""
+    from credtrail.operators.matching import fuzzy_matches as run
+
+    return run(pr, g2b, **options)
