@@ -3,9 +3,8 @@
 Where a query joins a fact table to a dimension and then groups by a
 dimension attribute, the fact side is aggregated per key first (map-side
 combined), so the join and the final grouping see one row per vendor or per
-invoice instead of one row per fact. This relies on the declared primary
-keys (vendor_master.vendor_id, purchase_register.purchase_invoice_id), which
-``sources.quality`` checks.
+invoice instead of one row per fact. Distinct counts are exact whether or not the
+declared primary keys hold (``sources.quality`` checks them).
 """
 
 from __future__ import annotations
@@ -14,6 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from credtrail.functions import scalars as S
+from credtrail.functions.distinct import distinct_counts
 
 MONEY_SUM = "decimal(25,2)"
 
@@ -42,24 +42,21 @@ def i2_top_leakage_vendors(vm: DataFrame, ils: DataFrame, k: int = 10) -> DataFr
 
 def i3_mismatch_rate_by_state(vm: DataFrame, pr: DataFrame, irr: DataFrame,
                               status: str = S.UNMATCHED) -> DataFrame:
-    """Per state: vendors, reconciliation rows with ``status``, and their share.
+    """Per state: vendors, reconciliation ids with ``status``, and their share of all its ids.
 
     ``status='Mismatch'`` reproduces the literal the reference's SQL tests
-    (a value the reconciliation never emits, so the count is 0). Output contract: reconciliation
-    and vendor ids are primary keys (S10 checks them), so rows are counted, not distinct ids.
+    (a value the reconciliation never emits, so the count is 0). All counts are of distinct ids, also where
+    ids repeat: both id counts come from bitmaps in one pass.
     """
     rec = irr.select("purchase_invoice_id", "reconciliation_id", "match_status")
-    per_vendor = (pr.select("purchase_invoice_id", "vendor_id")
-                  .join(rec, "purchase_invoice_id")
-                  .groupBy("vendor_id")
-                  .agg(F.count("reconciliation_id").alias("_n"),
-                       F.count_if((F.col("match_status") == status)
-                                  & F.col("reconciliation_id").isNotNull()).alias("_m")))
-    j = vm.select("vendor_id", "state").join(per_vendor, "vendor_id", "left")
-    g = j.groupBy("state").agg(
-        F.count_distinct("vendor_id").alias("total_vendors"),
-        F.coalesce(F.sum("_m"), F.lit(0)).cast("bigint").alias("mismatch_count"),
-        F.coalesce(F.sum("_n"), F.lit(0)).alias("_all"))
+    found = pr.select("purchase_invoice_id", "vendor_id").join(rec, "purchase_invoice_id")
+    found = vm.select("vendor_id", "state").distinct().join(found, "vendor_id")
+    ids = distinct_counts(found, ["state"], "reconciliation_id", {
+        "mismatch_count": F.coalesce(F.col("match_status") == status, F.lit(False)), "_all": F.lit(True)})
+    vendors = vm.groupBy(F.col("state").alias("_state")).agg(F.count_distinct("vendor_id").alias("total_vendors"))
+    g = vendors.join(ids, vendors["_state"].eqNullSafe(ids["state"]), "left").select(
+        F.col("_state").alias("state"), "total_vendors", F.coalesce("mismatch_count", F.lit(0)).cast("bigint").alias("mismatch_count"),
+        F.coalesce("_all", F.lit(0)).alias("_all"))
     return (g.select("state", "total_vendors", "mismatch_count",
                      S.pct("mismatch_count", "_all").alias("mismatch_rate_percentage"))
             .orderBy(F.col("mismatch_rate_percentage").desc_nulls_last(), "state"))
@@ -144,10 +141,10 @@ def i9_risk_by_business_type(vm: DataFrame, vrs: DataFrame, ils: DataFrame) -> D
 
 
 def i10_monthly_trend(pr: DataFrame, irr: DataFrame, k: int = 12) -> DataFrame:
-    """Latest k months: invoices, claimed / matched / unmatched tax (fan-out kept).
+    """Latest k months: distinct invoices, claimed / matched / unmatched tax (fan-out kept).
 
-    Output contract: purchase_invoice_id is a primary key (S10 checks it), so invoices are
-    counted, not distinct ids.
+    The join leaves the rows dealt by invoice id, so one row for each (id, month) is made without another
+    shuffle, and counting those rows counts distinct ids.
     """
     per_invoice = (irr.filter(F.col("purchase_invoice_id").isNotNull())
                    .groupBy("purchase_invoice_id")
@@ -157,11 +154,14 @@ def i10_monthly_trend(pr: DataFrame, irr: DataFrame, k: int = 12) -> DataFrame:
     j = pr.select("purchase_invoice_id", "invoice_date", "total_tax").join(
         per_invoice, "purchase_invoice_id", "left")
     t = F.col("total_tax")
-    g = j.groupBy(F.date_format("invoice_date", "yyyy-MM").alias("month_year")).agg(
-        F.count("purchase_invoice_id").alias("total_invoices"),  # one row per invoice here
-        _msum(t * F.coalesce(F.col("_n"), F.lit(1))).alias("total_tax_claimed"),
-        _msum(t * F.coalesce(F.col("_nm"), F.lit(0))).alias("matched_tax"),
-        _msum(t * F.coalesce(F.col("_nu"), F.lit(0))).alias("unmatched_tax"))
+    once = j.groupBy("purchase_invoice_id", F.date_format("invoice_date", "yyyy-MM").alias("month_year")).agg(
+        F.sum(t * F.coalesce(F.col("_n"), F.lit(1))).alias("_claimed"),
+        F.sum(t * F.coalesce(F.col("_nm"), F.lit(0))).alias("_matched"),
+        F.sum(t * F.coalesce(F.col("_nu"), F.lit(0))).alias("_unmatched"))
+    g = once.groupBy("month_year").agg(
+        F.count("purchase_invoice_id").alias("total_invoices"),
+        _msum("_claimed").alias("total_tax_claimed"), _msum("_matched").alias("matched_tax"),
+        _msum("_unmatched").alias("unmatched_tax"))
     return (g.withColumn("monthly_leakage_percentage",
                          S.pct("unmatched_tax", "total_tax_claimed"))
             .orderBy(F.col("month_year").desc_nulls_last()).limit(k))
