@@ -3,22 +3,26 @@
 ``trend``: least-squares line per series from ``regr_slope`` /
 ``regr_intercept`` (one aggregation, any number of series), residual
 standard error from a second aggregation, 80 % interval.
-``seasonal``: per series, ridge fit of a linear trend plus yearly Fourier
-terms with ``groupBy(series).applyInPandas`` -- one task per series, each
-holding only that series' periods.
+``seasonal``: ridge fit of a linear trend plus yearly Fourier terms, for all
+series at once: the sums of products that the normal equations need are one
+aggregation by series, and the small systems are solved many to an Arrow
+batch, so neither tasks nor groups grow with the number of series.
 Future periods follow the frequency inferred from the raw labels
 (quarter starts, month starts or days).
 """
 
 from __future__ import annotations
 
+import math
+from functools import reduce
+
 import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from credtrail.session import ship_package
 from credtrail.functions.periods import FREQ_MONTH, FREQ_QUARTER, infer_freq, parse_tax_period
+from credtrail.session import ship_package, write_snapshot
 
 Z80 = 1.2815515655446004  # two-sided 80 % normal interval
 EPOCH = "1970-01-01"
@@ -92,40 +96,75 @@ def forecast(df: DataFrame, series_cols: list[str], period_col: str, value_col:
     return out.drop("_series") if one else out
 
 
-def _seasonal(hist: DataFrame, series: list[str], horizon: int, freq: str,
-              fourier_order: int = 3, ridge: float = 1e-3) -> DataFrame:
-    types = dict(hist.dtypes)
-    schema_cols = ", ".join(f"{c} {types[c]}" for c in series)
-    schema = (schema_cols + ", " if series else "") + \
-        "ds date, yhat double, yhat_lower double, yhat_upper double"
-    step = {FREQ_QUARTER: pd.DateOffset(months=3), FREQ_MONTH: pd.DateOffset(months=1)}.get(
-        freq, pd.DateOffset(days=1))
-
-    def design(ds: pd.Series, t0: pd.Timestamp) -> np.ndarray:
-        t = (ds - t0).dt.days.to_numpy(dtype=float)
-        doy = 2 * np.pi * ds.dt.dayofyear.to_numpy(dtype=float) / 365.25
-        cols = [np.ones_like(t), t / 365.25]
-        for k in range(1, fourier_order + 1):
-            cols += [np.sin(k * doy), np.cos(k * doy)]
-        return np.column_stack(cols)
-
-    def fit(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("ds")
-        ds = pd.to_datetime(pdf["ds"])
-        t0 = ds.iloc[0]
-        x, y = design(ds, t0), pdf["y"].to_numpy(dtype=float)
-        scale = max(np.abs(y).max(), 1.0)
-        beta = np.linalg.solve(x.T @ x + ridge * np.eye(x.shape[1]), x.T @ (y / scale)) * scale
-        resid = y - x @ beta
-        se = float(np.sqrt((resid ** 2).sum() / max(len(y) - x.shape[1], 1)))
-        fut = pd.Series([ds.iloc[-1] + step * (i + 1) for i in range(horizon)])
-        all_ds = pd.concat([ds, fut], ignore_index=True)
-        yhat = design(all_ds, t0) @ beta
-        out = pd.DataFrame({"ds": all_ds.dt.date, "yhat": yhat, "yhat_lower": yhat - Z80 * se,
-                            "yhat_upper": yhat + Z80 * se})
-        for c in series:
-            out.insert(0, c, pdf[c].iloc[0])
-        return out[[*series, "ds", "yhat", "yhat_lower", "yhat_upper"]]
+FOURIER_ORDER = 3
+RIDGE = 1e-3
+YEAR = 365.25
+
+
+def seasonal_design(ds: Column, start: Column, order: int = FOURIER_ORDER) -> list[Column]:
+    """Columns of the seasonal fit: 1, years since ``start``, and sine and cosine of 1 to ``order``
+    waves a year."""
+    wave = F.dayofyear(ds) * F.lit(2 * math.pi / YEAR)
+    waves = [f(wave * k) for k in range(1, order + 1) for f in (F.sin, F.cos)]
+    return [F.lit(1.0), F.datediff(ds, start) / F.lit(YEAR), *waves]
+
+
+def _same(left: DataFrame, right: DataFrame, names: list[str]) -> Column:
+    return reduce(lambda a, b: a & b, [left[c].eqNullSafe(right[f"_s_{c}"]) for c in names])
+
+
+def seasonal_coefficients(hist: DataFrame, series: list[str], ridge: float = RIDGE,
+                          order: int = FOURIER_ORDER) -> DataFrame:
+    """(series..., start, last, periods, beta): the ridge fit of every series of ``hist`` (series..., ds, y).
+
+    The window for the first date and the sums share one shuffle by series. ``beta`` solves
+    (X'X + ridge I) beta = X'y.
+    """
+    rows = hist.withColumn("start", F.min("ds").over(Window.partitionBy(*series)))
+    x = seasonal_design(F.col("ds"), F.col("start"), order)
+    k = len(x)
+    rows = rows.select(*series, "ds", "y", "start", *[c.alias(f"x{i}") for i, c in enumerate(x)])
+    pairs = [(i, j) for i in range(k) for j in range(i, k)]
+    sums = rows.groupBy(*series).agg(
+        F.first("start").alias("start"), F.max("ds").alias("last"), F.count(F.lit(1)).alias("periods"),
+        *[F.sum(F.col(f"x{i}") * F.col(f"x{j}")).alias(f"g{i}_{j}") for i, j in pairs],
+        *[F.sum(F.col(f"x{i}") * F.col("y")).alias(f"b{i}") for i in range(k)])
+    keep = [*series, "start", "last", "periods"]
+    types = dict(sums.dtypes)
+
+    def solve(batches):
+        for batch in batches:
+            gram = np.zeros((batch.num_rows, k, k))
+            for i, j in pairs:
+                gram[:, i, j] = gram[:, j, i] = batch.column(f"g{i}_{j}").to_numpy()
+            right = np.stack([batch.column(f"b{i}").to_numpy() for i in range(k)], axis=1)
+            beta = np.linalg.solve(gram + ridge * np.eye(k), right[:, :, None])[:, :, 0]
+            offsets = pa.array(np.arange(0, k * (batch.num_rows + 1), k, dtype=np.int32))
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(c) for c in keep), pa.ListArray.from_arrays(offsets, pa.array(beta.ravel()))], [*keep, "beta"])
 
     ship_package(hist.sparkSession)
-    return hist.groupBy(*series).applyInPandas(fit, schema).orderBy(*series, "ds")
+    return sums.mapInArrow(solve, ", ".join(f"`{c}` {types[c]}" for c in keep) + ", beta array<double>")
+
+
+def _seasonal(hist: DataFrame, series: list[str], horizon: int, freq: str) -> DataFrame:
+    """History and future of every series with the fitted values and their band."""
+    # read twice, by the fit and by the fitted values: totals have one row a series and period
+    hist = write_snapshot(hist.select(*series, "ds", "y"), "seasonal-history")
+    fits = write_snapshot(seasonal_coefficients(hist, series), "seasonal-fits")
+    fits = fits.select(*[F.col(c).alias(f"_s_{c}") for c in series], F.col("start").alias("_start"), F.col("last").alias("_last"),
+                       F.col("periods").alias("_n"), F.col("beta").alias("_beta"))
+    design = seasonal_design(F.col("ds"), F.col("_start"))
+    yhat = reduce(lambda a, b: a + b, [F.col("_beta")[i] * c for i, c in enumerate(design)])
+    known = hist.join(fits, _same(hist, fits, series)).select(*series, "ds", "y", "_start", "_last", "_n", "_beta", yhat.alias("yhat"))
+    spread = F.sum(F.pow(F.col("y") - F.col("yhat"), 2)).over(Window.partitionBy(*series))
+    known = known.withColumn("_se", F.sqrt(spread / F.greatest(F.col("_n") - len(design), F.lit(1)).cast("double")))
+    # one row of a series seeds its future periods
+    seed = F.row_number().over(Window.partitionBy(*series).orderBy(F.col("ds").desc())) == 1
+    known = known.withColumn("_seed", seed)
+    k = F.explode(F.sequence(F.lit(0), F.when(F.col("_seed"), F.lit(horizon)).otherwise(F.lit(0))))
+    out = known.withColumn("_k", k).withColumn("ds", F.when(F.col("_k") == 0, F.col("ds")).otherwise(
+        _future(F.col("_last"), F.lit(freq), F.col("_k")))).withColumn("yhat", yhat)
+    band = F.col("_se") * Z80
+    return out.select(*series, "ds", "yhat", (F.col("yhat") - band).alias("yhat_lower"),
+                      (F.col("yhat") + band).alias("yhat_upper")).orderBy(*series, "ds")
