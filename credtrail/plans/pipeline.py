@@ -50,9 +50,13 @@ def read_table(spark: SparkSession, table: str, path: str) -> DataFrame:
     """Read a written stage table with its declared schema (and column order).
 
     Declaring the schema keeps partition values such as ``202304`` as text
-    instead of letting partition-type inference turn them into numbers.
+    instead of letting partition-type inference turn them into numbers. A versioned table is read
+    as its newest manifest names it.
     """
+    from credtrail.sources import versions
     from credtrail.sources.schemas import TABLES
+    if versions.is_versioned(spark, path):
+        return versions.read_version(spark, path).select(*TABLES[table].fieldNames())
     return spark.read.schema(TABLES[table]).parquet(path).select(*TABLES[table].fieldNames())
 
 
@@ -65,7 +69,7 @@ def train_models(spark: SparkSession, output_dir: str, model_dir: str, *, seed:
     from credtrail.operators import anomaly
     from credtrail.sources import io
 
-    t = {n: spark.read.parquet(f"{output_dir}/{n}") for n in
+    t = {n: read_table(spark, n, f"{output_dir}/{n}") for n in
          ("vendor_master", "purchase_register", "gstr2b_data", "vendor_filing_compliance",
           "invoice_reconciliation_results")}
     feats = risk.vendor_features(t["vendor_master"], t["invoice_reconciliation_results"],
@@ -106,7 +110,7 @@ def stage_inputs(spark: SparkSession, input_dir: str, output_dir: str, *, fmt: s
 def run_pipeline(spark: SparkSession, input_dir: str, output_dir: str, *,
                  as_of=None, input_format: str = "parquet", forecast_horizon: int = 4,
                  forecast_method: str = "seasonal", day_first: bool = False,
-                 model_dir: str | None = None) -> dict:
+                 model_dir: str | None = None, versioned: bool = False) -> dict:
     """Run every stage over the input tables in ``input_dir``; write to ``output_dir``.
 
     ``input_dir`` holds the four input tables (vendor_master, purchase_register,
@@ -114,14 +118,15 @@ def run_pipeline(spark: SparkSession, input_dir: str, output_dir: str, *,
     Saved models under ``model_dir`` are used when present; otherwise the
     risk score is the weighted rule and anomalies use the quantile rule.
     Forecasts fit a trend with yearly seasonality unless ``forecast_method`` is
-    "trend". Returns a per-stage report (row counts, written paths).
+    "trend". With ``versioned`` the three result tables keep versions (``sources.versions``); else their
+    folders are swapped. Returns a per-stage report (row counts, written paths).
     """
     with temporary_snapshots(spark):
         return _run(spark, input_dir, output_dir, as_of or dt.date.today(), input_format,
-                    forecast_horizon, forecast_method, day_first, model_dir)
+                    forecast_horizon, forecast_method, day_first, model_dir, versioned)
 
 
-def _run(spark, input_dir, output_dir, as_of, input_format, horizon, method, day_first, model_dir) -> dict:
+def _run(spark, input_dir, output_dir, as_of, input_format, horizon, method, day_first, model_dir, versioned) -> dict:
     from credtrail.operators import anomaly, forecast
     from credtrail.sources import io
 
@@ -138,7 +143,8 @@ def _run(spark, input_dir, output_dir, as_of, input_format, horizon, method, day
     for name in ("invoice_reconciliation_results", "vendor_risk_scores", "itc_leakage_summary"):
         # the leakage summary is read by period (dashboard filters, forecasts):
         # one folder per tax period lets those reads skip the other periods
-        path = io.write_table(out[name], name, f"{output_dir}/{name}", partition_by=PARTITIONING.get(name))
+        path = io.write_table(out[name], name, f"{output_dir}/{name}", partition_by=PARTITIONING.get(name),
+                              versioned=versioned)
         report["stages"][name] = {"path": path, "rows": read_table(spark, name, path).count()}
 
     anomalies = anomaly.detect_anomalies(staged["purchase_register"], staged["gstr2b_data"],

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from credtrail.sources import versions
 from credtrail.sources.schemas import TABLES, cast_to_schema
 
 INPUT_ORDER = ["vendor_master", "gstr2b_data", "purchase_register", "vendor_filing_compliance"]
@@ -141,32 +142,46 @@ def write_staged(raw: DataFrame, table: str, path: str, *, day_first: bool = Fal
     return {"lost_dates": lost}
 
 
-def write_table(df: DataFrame, table: str, path: str, partition_by=None, files_per_value: int = 8) -> str:
-    """Replace-contents sink: cast to the declared schema, overwrite the folder.
+def write_table(df: DataFrame, table: str, path: str, partition_by=None, files_per_value: int = 8,
+                versioned: bool = False) -> str:
+    """Replace-contents sink: cast to the declared schema, write beside the old table, then take its place.
 
-    With ``partition_by`` the rows are first dealt by those columns and a salt, so each value
-    gets at most ``files_per_value`` files instead of one from every task.
+    A write that fails leaves the old table as it was, and the rows may be read from the table itself.
+    ``versioned`` keeps numbered manifests that readers follow (``sources.versions``); without it the folder
+    itself is swapped. With ``partition_by`` the rows are first dealt by those columns and a salt, so each
+    value gets at most ``files_per_value`` files instead of one from every task.
     """
     out = cast_to_schema(df, table)
     if partition_by:
         salt = F.pmod(F.xxhash64(*out.columns), F.lit(files_per_value))
         out = out.repartition(*partition_by, salt)
-    w = out.write.mode("overwrite")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(path)
+    if versioned:
+        versions.replace_version(out, path, partition_by)
+    else:
+        versions.swap_folder(out, path, partition_by)
     return path
 
 
+SERIES_FORECAST = ("ds", "yhat", "yhat_lower", "yhat_upper")
+
+
 def write_forecast_csv(fc: DataFrame, path: str) -> str:
-    """ds, yhat, yhat_lower, yhat_upper with a header (a small, per-period frame)."""
-    fc.select("ds", "yhat", "yhat_lower", "yhat_upper").coalesce(1).write.mode("overwrite") \
-        .option("header", True).csv(path)
+    """Series columns, if any, then ds, yhat, yhat_lower, yhat_upper, with a header.
+
+    One series is one file in the order of its dates; many series are written by as many tasks as they take."""
+    series = [c for c in fc.columns if c not in SERIES_FORECAST]
+    out = fc.select(*series, *SERIES_FORECAST)
+    out = out if series else out.coalesce(1)
+    out.write.mode("overwrite").option("header", True).csv(path)
     return path
 
 
 def save_model(model, path: str) -> str:
-    """MLlib models use their own writer; the isolation forest saves its node table."""
+    """MLlib models use their own writer; the forests save their node tables."""
+    from credtrail.operators.forest import ForestModel
+    if isinstance(model, ForestModel):
+        model.save(SparkSession.getActiveSession(), path)
+        return path
     if hasattr(model, "write"):
         model.write().overwrite().save(path)
         return path
@@ -189,6 +204,9 @@ def load_model(path: str, kind: str = "pipeline"):
     if not _exists(spark, path):
         return None
     if kind == "pipeline":
+        from credtrail.operators.forest import ForestModel
+        if _exists(spark, f"{path}/forest"):
+            return ForestModel.load(spark, path)
         from pyspark.ml import PipelineModel
         return PipelineModel.load(path)
     import json
