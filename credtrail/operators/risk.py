@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from credtrail.functions import scalars as S
+from credtrail.operators import forest
 from credtrail.operators.joins import IN_LEFT
 from credtrail.session import write_snapshot
 
@@ -125,25 +126,36 @@ def in_test(seed: int = 42, test_fraction: float = 0.2) -> Column:
 
 
 def train_risk_model(features: DataFrame, *, seed: int = 42, num_trees: int = 100,
-                     max_depth: int = MAX_DEPTH, max_bins: int = MAX_BINS, test_fraction: float = 0.2):
-    """Random forest on the 16 features; returns (PipelineModel, scored).
-
-    Training is MLlib's distributed tree learner. ``scored`` has every vendor's features,
-    ``synthetic_risk``, ``prediction`` and ``in_test``; ``held_out_mse(scored)`` is the held-out
-    error. The features are written as a table first: the learner reads them many times.
+                     max_depth: int = MAX_DEPTH, max_bins: int = MAX_BINS, test_fraction: float = 0.2,
+                     method: str = "auto"):
+    """Random forest on the 16 features; returns (model, scored).
+
+    ``method``: "tasks" grows every tree in one task over features that fit an executor
+    (``operators.forest``), "distributed" is MLlib's learner; "auto" takes tasks where they fit.
+    ``scored`` has every vendor's features, ``synthetic_risk``, ``prediction`` and ``in_test``;
+    ``held_out_mse(scored)`` is the held-out error. The features are written as a table first: the
+    learner reads them many times.
     """
+    if method not in ("auto", "tasks", "distributed"):
+        raise ValueError(f"unknown method {method!r}")
+    data = write_snapshot(with_synthetic_target(features, seed)
+                          .withColumn("in_test", in_test(seed, test_fraction)), "risk-features")
+    known = data.filter("not in_test")
+    if method == "tasks" or (method == "auto" and 0 < (n := known.count()) and forest.fits(n, len(FEATURES), num_trees)):
+        model = forest.train_forest(known, FEATURES, "synthetic_risk", seed=seed, num_trees=num_trees,
+                                    max_depth=max_depth, max_bins=max_bins)
+        return model, model.transform(data)
+
     from pyspark.ml import Pipeline
     from pyspark.ml.feature import VectorAssembler
     from pyspark.ml.regression import RandomForestRegressor
 
-    data = write_snapshot(with_synthetic_target(features, seed)
-                          .withColumn("in_test", in_test(seed, test_fraction)), "risk-features")
     pipe = Pipeline(stages=[
         VectorAssembler(inputCols=FEATURES, outputCol="features_vec"),
         RandomForestRegressor(featuresCol="features_vec", labelCol="synthetic_risk",
                               numTrees=num_trees, maxDepth=max_depth, maxBins=max_bins, seed=seed,
                               featureSubsetStrategy="all", subsamplingRate=1.0)])
-    model = pipe.fit(data.filter("not in_test"))
+    model = pipe.fit(known)
     return model, model.transform(data)
 
 
