@@ -64,6 +64,16 @@ def hot_keys_of(left: DataFrame, right: DataFrame, keys: list[str], *, min_rows:
     return hot.select(_HASH, a.cast("int").alias(_A), F.ceil(cells / a).cast("int").alias(_B))
 
 
+_none_hot: set[tuple] = set()
+
+
+def _known_cold(left: DataFrame, right: DataFrame, keys: list[str], options: tuple) -> tuple:
+    """What names a pair of inputs: their plans down to the files. Only the finding that no key is hot is
+    kept, and it only saves the sample: the result is the same on either path."""
+    app = left.sparkSession.sparkContext.applicationId
+    return (app, left.select(*keys).semanticHash(), right.select(*keys).semanticHash(), options)
+
+
 def _split(left: DataFrame, right: DataFrame, keys, rkeys, hot_keys) -> dict | None:
     """Cold and hot rows of both sides and the hot pairs; None if no key is hot."""
     if hot_keys is None:
@@ -145,11 +155,16 @@ def full_outer_join(left: DataFrame, right: DataFrame, keys: list[str], *,
             F.coalesce(F.col(IN_LEFT), F.lit(False)).alias(IN_LEFT),
             F.coalesce(F.col(IN_RIGHT), F.lit(False)).alias(IN_RIGHT))
 
+    pair = None
     if isinstance(hot_keys, str) and hot_keys == "auto":
-        hot_keys = hot_keys_of(left, right, keys, min_rows=min_hot_rows, min_pairs=min_hot_pairs,
-                               fraction=sample_fraction, pairs_per_cell=pairs_per_cell)
+        pair = _known_cold(left, right, keys, (min_hot_rows, min_hot_pairs, pairs_per_cell, sample_fraction))
+        hot_keys = None if pair in _none_hot else hot_keys_of(
+            left, right, keys, min_rows=min_hot_rows, min_pairs=min_hot_pairs,
+            fraction=sample_fraction, pairs_per_cell=pairs_per_cell)
     parts = _split(lt, rt, keys, rkeys, hot_keys)
     if parts is None:
+        if pair is not None:
+            _none_hot.add(pair)
         return finish(lt.join(rt, _cond(lt, rt, keys, rkeys), "full"))
     l_cold, r_cold, l_hot, r_hot = (parts[x] for x in ("l_cold", "r_cold", "l_hot", "r_hot"))
     cold = l_cold.join(r_cold, _cond(l_cold, r_cold, keys, rkeys), "full")

@@ -13,13 +13,16 @@ import datetime as dt
 import threading
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from credtrail.session import scratch_path, write_snapshot
-from credtrail.sources import testdata
+from credtrail.sources import arranged, testdata
 from credtrail.sources.schemas import cast_to_schema
+from credtrail.sources.versions import Folder
 
 DEFAULT_AS_OF = dt.date(2001, 11, 15)
 INPUT_TABLES = ("vendor_master", "purchase_register", "gstr2b_data", "vendor_filing_compliance")
+RAW_TABLES = ("supplier", "nation", "lineitem")
 STAGE_TABLES = ("invoice_reconciliation_results", "itc_leakage_summary", "vendor_risk_scores")
 
 _lock = threading.RLock()
@@ -31,6 +34,19 @@ class Catalog:
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
         self.as_of = as_of
+        self._stamp: tuple | None = None
+
+    def stamp(self) -> tuple:
+        """Names, sizes and times of the raw files, so that tables derived from files that were
+        written anew are derived anew."""
+        if self._stamp is None:
+            found = []
+            for name in RAW_TABLES:
+                folder = Folder(self.spark, f"{self.sf_dir}/{name}.parquet")
+                found += [(name, s.getPath().getName(), s.getLen(), s.getModificationTime())
+                          for s in folder.fs.listStatus(folder._path(folder.path))]
+            self._stamp = tuple(sorted(found))
+        return self._stamp
 
     # -- driver tables ------------------------------------------------------
     def raw(self, name: str) -> DataFrame:
@@ -40,7 +56,7 @@ class Catalog:
     def _key(self, name: str) -> tuple:
         app = self.spark.sparkContext.applicationId
         as_of = self.as_of if name in STAGE_TABLES else None
-        return (app, self.sf_dir, name, str(as_of))
+        return (app, self.sf_dir, name, str(as_of), self.stamp())
 
     def _write(self, name: str, df: DataFrame) -> str:
         path = scratch_path(self.spark, name)
@@ -70,6 +86,27 @@ class Catalog:
         for name in STAGE_TABLES:
             _written[self._key(name)] = self._write(name, outputs[name])
 
+    def _kept(self, name: str, make) -> str:
+        """The path of something that ``make(path)`` writes once per session."""
+        with _lock:
+            if self._key(name) not in _written:
+                path = scratch_path(self.spark, name)
+                make(path)
+                _written[self._key(name)] = path
+            return _written[self._key(name)]
+
+    def by_period(self, name: str) -> str:
+        """The path of a table written partitioned by tax period."""
+        def make(path: str) -> None:
+            salt = F.pmod(F.xxhash64(*self.table(name).columns), F.lit(8))
+            self.table(name).repartition("tax_period", salt).write.partitionBy("tax_period").parquet(path)
+        return self._kept(f"{name}-by-period", make)
+
+    def arranged_inputs(self) -> arranged.ArrangedInputs:
+        """The purchase register and the filings, bucketed by the reconciliation key."""
+        path = self._kept("arranged", lambda p: arranged.arrange(self.table("purchase_register"), self.table("gstr2b_data"), p))
+        return arranged.ArrangedInputs.open(self.spark, path)
+
     def table(self, name: str) -> DataFrame:
         """A derived input table or a stage output, written once per session."""
         with _lock:
