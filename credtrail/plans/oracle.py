@@ -286,3 +286,72 @@ def trend_forecast(series: list[str], value: str, horizon: int = 4) -> str:
         "ROUND(f.a + f.b * CAST(datediff('day', DATE '1970-01-01', p.ds) AS DOUBLE) - coalesce(se.se, 0.0) * 1.2815515655446004, 2) AS yhat_lower, "
         "ROUND(f.a + f.b * CAST(datediff('day', DATE '1970-01-01', p.ds) AS DOUBLE) + coalesce(se.se, 0.0) * 1.2815515655446004, 2) AS yhat_upper "
         f"FROM pts p JOIN f ON {on.replace('h.', 'p.')} JOIN se ON {on3}")
+
+
+def seasonal_normal_equations(order: int = 3, ridge: str = "1e-3") -> str:
+    """Per vendor the seasonal ridge fit of the claimed tax by quarter: the sums of products, then
+    Gauss-Jordan elimination a pivot at a time. Coefficients are in units of the largest |y|."""
+    waves = [f"{f}({k} * 2 * pi() * dayofyear(ds) / 365.25)" for k in range(1, order + 1) for f in ("sin", "cos")]
+    x = ["1.0", "datediff('day', first, ds) / 365.25", *waves]
+    n = len(x)
+    rows = ", ".join("[" + ", ".join(f"SUM(x[{i}] * x[{j}])" + (f" + {ridge}" if i == j else "")
+                                     for j in range(1, n + 1)) + f", SUM(x[{i}] * y)]" for i in range(1, n + 1))
+    return full(
+        "tot AS (SELECT vendor_id, tax_period, CAST(SUM(total_itc_claimed) AS DOUBLE) AS y FROM ils GROUP BY vendor_id, tax_period),\n"
+        f"h AS (SELECT vendor_id, {parse_period('tax_period')} AS ds, y FROM tot),\n"
+        "hx AS (SELECT vendor_id, ds, y, MIN(ds) OVER (PARTITION BY vendor_id) AS first FROM h WHERE ds IS NOT NULL AND y IS NOT NULL),\n"
+        f"d AS (SELECT vendor_id, y, [{', '.join(x)}]::DOUBLE[] AS x FROM hx),\n"
+        f"sums AS (SELECT vendor_id, COUNT(*) AS periods, MAX(ABS(y)) AS scale, [{rows}] AS m FROM d GROUP BY vendor_id),\n"
+        "solved AS (SELECT * FROM (WITH RECURSIVE e AS (SELECT vendor_id, periods, scale, 1 AS k, m FROM sums UNION ALL "
+        "SELECT vendor_id, periods, scale, k + 1, list_transform(m, lambda r, i: CASE WHEN i = k THEN r ELSE "
+        f"list_transform(r, lambda v, j: v - r[k] / m[k][k] * m[k][j]) END) FROM e WHERE k <= {n}) SELECT * FROM e WHERE k = {n + 1}))\n"
+        "SELECT vendor_id, periods, " + ", ".join(f"ROUND(m[{i}][{n + 1}] / m[{i}][{i}] / scale, 5) AS b{i - 1}" for i in range(1, n + 1)) +
+        " FROM solved")
+
+
+FUZZY = (
+    "pn AS (SELECT purchase_invoice_id, supplier_gstin AS gstin, " + norm("invoice_number") + " AS num, total_tax AS tax FROM purchase_register),\n"
+    "gn AS (SELECT gstr2b_id, supplier_gstin AS gstin, " + norm("invoice_number") + " AS num, igst + cgst + sgst AS tax FROM gstr2b_data),\n"
+    "pl AS (SELECT * FROM pn p WHERE NOT EXISTS (SELECT 1 FROM gn g WHERE g.gstin IS NOT DISTINCT FROM p.gstin AND g.num IS NOT DISTINCT FROM p.num)),\n"
+    "gl AS (SELECT * FROM gn g WHERE NOT EXISTS (SELECT 1 FROM pn p WHERE g.gstin IS NOT DISTINCT FROM p.gstin AND g.num IS NOT DISTINCT FROM p.num)),\n")
+
+
+def fuzzy_matching(distance: int, tolerance: int, prepare: str = FUZZY) -> str:
+    """One-to-one matching in rounds: each round takes the pairs of classes that are each other's best."""
+    def classes(rows: str) -> str:
+        return (f"SELECT gstin, num, tax, COUNT(*) AS size, md5(concat_ws(chr(31), gstin, num, CAST(tax AS VARCHAR))) AS digest "
+                f"FROM {rows} WHERE gstin IS NOT NULL AND num IS NOT NULL AND tax IS NOT NULL GROUP BY gstin, num, tax")
+
+    best = "row_number() OVER (PARTITION BY {} ORDER BY edits, diff, tie) = 1"
+    return base(
+        prepare + f"pc AS ({classes('pl')}),\ngc AS ({classes('gl')}),\n"
+        "edges AS (SELECT p.digest AS p, g.digest AS g, levenshtein(p.num, g.num) AS edits, abs(p.tax - g.tax) AS diff, "
+        "md5(p.digest || g.digest) AS tie, p.size AS size_p, g.size AS size_g FROM pc p JOIN gc g ON p.gstin = g.gstin "
+        f"WHERE levenshtein(p.num, g.num) <= {distance} AND abs(p.tax - g.tax) < {tolerance}),\n"
+        "found AS (SELECT * FROM (WITH RECURSIVE m AS (\n"
+        "SELECT p, g, edits, diff, tie, size_p, size_g, 0::BIGINT AS from_p, 0::BIGINT AS from_g, 0::BIGINT AS n FROM edges UNION ALL\n"
+        "SELECT p, g, edits, diff, tie, size_p, size_g, CASE WHEN hit > 0 THEN from_p ELSE from_p + now_p END, "
+        "CASE WHEN hit > 0 THEN from_g ELSE from_g + now_g END, hit FROM (\n"
+        "SELECT *, CAST(SUM(hit) OVER (PARTITION BY p) AS BIGINT) AS now_p, CAST(SUM(hit) OVER (PARTITION BY g) AS BIGINT) AS now_g FROM (\n"
+        f"SELECT *, CASE WHEN {best.format('p')} AND {best.format('g')} THEN least(size_p - from_p, size_g - from_g) ELSE 0 END AS hit "
+        "FROM m WHERE n = 0) a) b WHERE hit > 0 OR (from_p + now_p < size_p AND from_g + now_g < size_g))\n"
+        "SELECT * FROM m WHERE n > 0)),\n"
+        "slots AS (SELECT *, unnest(range(n)) AS k FROM found),\n"
+        + "".join(f"{x}r AS (SELECT {i} AS id, md5(concat_ws(chr(31), gstin, num, CAST(tax AS VARCHAR))) AS digest, "
+                  f"row_number() OVER (PARTITION BY gstin, num, tax ORDER BY {i}) - 1 AS at FROM {x}l){',' if x == 'p' else ''}\n"
+                  for x, i in (("p", "purchase_invoice_id"), ("g", "gstr2b_id"))) +
+        "SELECT pr.id AS purchase_invoice_id, gr.id AS gstr2b_id, CAST(edits AS INTEGER) AS edits, CAST(diff AS DECIMAL(18,2)) AS tax_difference "
+        "FROM slots JOIN pr ON pr.digest = p AND pr.at = from_p + k JOIN gr ON gr.digest = g AND gr.at = from_g + k")
+
+
+def repeated_keys(body: str) -> str:
+    """``body`` over tables in which ids repeat: some vendors have a second state, some invoices and
+    results a second row."""
+    def also(name: str, rows: str, more: str) -> str:
+        return f"{name}_twice AS (SELECT * FROM {rows} UNION ALL SELECT {more})"
+
+    return full(",\n".join([
+        also("vendor_master", "vendor_master", "* REPLACE ('Elsewhere' AS state) FROM vendor_master WHERE right(vendor_id, 1) = '3'"),
+        also("purchase_register", "purchase_register", "* FROM purchase_register WHERE right(purchase_invoice_id, 1) = '7'"),
+        also("irr", "irr", "* FROM irr WHERE right(reconciliation_id, 1) IN ('1', '5')"),
+        also("vrs", "vrs", "* FROM vrs WHERE right(vendor_id, 1) = '4'")]) + "\n" + body)
