@@ -216,7 +216,7 @@ def score(df: DataFrame, model: dict | None, text: str = "text", threshold: floa
                 z, row, sentence, at = sentence_scores(data, off, fitted, cache)
                 base = fitted.get("base", 0.0)
                 total = np.bincount(row, np.maximum(np.logaddexp(0, z) - base, 0), part.num_rows)
-                total += base * np.minimum(np.bincount(row, minlength=part.num_rows), FLOOR_SENTENCES)
+                total = total + base * np.minimum(np.bincount(row, minlength=part.num_rows), FLOOR_SENTENCES)
                 found: list = [[] for _ in range(part.num_rows)]
                 p = 1 / (1 + np.exp(-np.clip(z, -700, 700)))
                 firsts = np.searchsorted(sentence, np.arange(len(row)))
