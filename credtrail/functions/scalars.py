@@ -75,6 +75,14 @@ def gst_status_score(status) -> Column:
     return F.coalesce(expr, F.lit(0))
 
 
+def compared(c, collation: str | None = None) -> Column:
+    """A text column as it is to be compared: byte by byte, or under a collation such as ``UTF8_LCASE``
+    (upper and lower case alike) or ``UTF8_LCASE_RTRIM`` (trailing blanks don't count either), as
+    stores do whose text columns ignore case."""
+    x = _c(c)
+    return F.collate(x, collation) if collation else x
+
+
 def one_if_zero(c) -> Column:
     """Denominator guard: 0 becomes 1 so that n/0 reads as n/1."""
     x = _c(c)

@@ -57,12 +57,12 @@ def candidate_pairs(left: DataFrame, right: DataFrame, distance: int, tolerance:
     # the tax of a partner lies in the own band or one beside it
     l = write_snapshot(keys(left, "p", F.array(band)), "fuzzy-left")
     r = write_snapshot(keys(right, "g", F.array(band - 1, band, band + 1)), "fuzzy-right")
-    met = write_snapshot(inner_join(l, r, ["p_key"], ["g_key"], **join_opts).select("p", "g").distinct(), "fuzzy-met")
+    met = inner_join(l, r, ["p_key"], ["g_key"], **join_opts).select("p", "g")
     own = left.select(F.col("n").alias("p"), F.col("gstin").alias("gstin_p"), F.col("number").alias("number_p"),
                       F.col("tax").alias("tax_p"), F.col("size").alias("size_p"), F.col("digest").alias("digest_p"))
     other = right.select(F.col("n").alias("g"), F.col("gstin").alias("gstin_g"), F.col("number").alias("number_g"),
                          F.col("tax").alias("tax_g"), F.col("size").alias("size_g"), F.col("digest").alias("digest_g"))
-    return (met.join(own, "p").join(other, "g").filter("gstin_p = gstin_g")
+    return (met.distinct().join(own, "p").join(other, "g").filter("gstin_p = gstin_g")
             .withColumn("edits", F.levenshtein("number_p", "number_g"))
             .withColumn("tax_difference", F.abs(F.col("tax_p") - F.col("tax_g")))
             .filter((F.col("edits") <= distance) & (F.col("tax_difference") < F.lit(tolerance)))
@@ -99,7 +99,7 @@ def _ranked(rows: DataFrame, classes: DataFrame, row_id: str, n: str, rank: str)
     named = rows.join(classes.select("gstin", "number", "tax", F.col("n").alias(n)),
                       rows["gstin"].eqNullSafe(classes["gstin"]) & rows["number"].eqNullSafe(classes["number"])
                       & rows["tax"].eqNullSafe(classes["tax"])).select(n, row_id)
-    numbered = write_snapshot(dense_ordinals(write_snapshot(named, "match-rows"), [F.col(n), F.col(row_id)], "at"), "match-ranked")
+    numbered = dense_ordinals(named, [F.col(n), F.col(row_id)], "at")
     begin = numbered.groupBy(n).agg(F.min("at").alias("begin"))
     return numbered.join(begin, n).select(n, (F.col("at") - F.col("begin")).alias(rank), row_id)
 
@@ -122,7 +122,6 @@ def fuzzy_matches(pr: DataFrame, g2b: DataFrame, *, distance: int = 1,
     right = side(missing_in_register(pr, g2b), "gstr2b_id", F.col("igst") + F.col("cgst") + F.col("sgst"), "fuzzy-filings")
     classes_p, classes_g = _classes(left, "fuzzy-classes-p"), _classes(right, "fuzzy-classes-g")
     found = greedy_matching(candidate_pairs(classes_p, classes_g, distance, tolerance, **join_opts))
-    found = write_snapshot(found, "match-found")
 
     # each matched pair of classes becomes as many slots as it has rows, in pieces
     piece = F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("rows") - 1) / SLOTS)))

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from credtrail.functions import scalars as S
-from credtrail.functions.distinct import distinct_counts
+from credtrail.functions.distinct import NUMBER, bitmaps, counted, with_numbers
 
 MONEY_SUM = "decimal(25,2)"
 
@@ -41,18 +41,19 @@ def i2_top_leakage_vendors(vm: DataFrame, ils: DataFrame, k: int = 10) -> DataFr
 
 
 def i3_mismatch_rate_by_state(vm: DataFrame, pr: DataFrame, irr: DataFrame,
-                              status: str = S.UNMATCHED) -> DataFrame:
+                              status: str = S.UNMATCHED, collation: str | None = None) -> DataFrame:
     """Per state: vendors, reconciliation ids with ``status``, and their share of all its ids.
 
     ``status='Mismatch'`` reproduces the literal the reference's SQL tests
     (a value the reconciliation never emits, so the count is 0). All counts are of distinct ids, also where
-    ids repeat: both id counts come from bitmaps in one pass.
+    ids repeat: both id counts come from bitmaps in one pass. ``collation``: how the status is compared.
     """
-    rec = irr.select("purchase_invoice_id", "reconciliation_id", "match_status")
+    rec = with_numbers(irr.select("purchase_invoice_id", "reconciliation_id", "match_status"), "reconciliation_id")
+    rec = rec.select("purchase_invoice_id", NUMBER, F.coalesce(S.compared("match_status", collation) == status, F.lit(False)).alias("_is"))
     found = pr.select("purchase_invoice_id", "vendor_id").join(rec, "purchase_invoice_id")
     found = vm.select("vendor_id", "state").distinct().join(found, "vendor_id")
-    ids = distinct_counts(found, ["state"], "reconciliation_id", {
-        "mismatch_count": F.coalesce(F.col("match_status") == status, F.lit(False)), "_all": F.lit(True)})
+    names = {"mismatch_count": F.col("_is"), "_all": F.lit(True)}
+    ids = counted(bitmaps(found, ["state"], names), ["state"], list(names))
     vendors = vm.groupBy(F.col("state").alias("_state")).agg(F.count_distinct("vendor_id").alias("total_vendors"))
     g = vendors.join(ids, vendors["_state"].eqNullSafe(ids["state"]), "left").select(
         F.col("_state").alias("state"), "total_vendors", F.coalesce("mismatch_count", F.lit(0)).cast("bigint").alias("mismatch_count"),
@@ -62,9 +63,10 @@ def i3_mismatch_rate_by_state(vm: DataFrame, pr: DataFrame, irr: DataFrame,
             .orderBy(F.col("mismatch_rate_percentage").desc_nulls_last(), "state"))
 
 
-def i4_filing_compliance_by_period(vfc: DataFrame) -> DataFrame:
-    on_time = F.sum(F.when(F.col("filing_status") == "On Time", 1).otherwise(0))
-    delayed = F.sum(F.when(F.col("filing_status") == "Delayed", 1).otherwise(0))
+def i4_filing_compliance_by_period(vfc: DataFrame, collation: str | None = None) -> DataFrame:
+    status = S.compared("filing_status", collation)
+    on_time = F.sum(F.when(status == "On Time", 1).otherwise(0))
+    delayed = F.sum(F.when(status == "Delayed", 1).otherwise(0))
     g = vfc.groupBy("tax_period").agg(
         F.count(F.lit(1)).alias("total_filings"), on_time.cast("bigint").alias("on_time_filings"),
         delayed.cast("bigint").alias("delayed_filings"), F.avg("delay_days").alias("avg_delay_days"))
@@ -73,9 +75,9 @@ def i4_filing_compliance_by_period(vfc: DataFrame) -> DataFrame:
 
 
 def i5_high_risk_vendors(vm: DataFrame, vrs: DataFrame, ils: DataFrame,
-                         categories=("High", "Critical")) -> DataFrame:
+                         categories=("High", "Critical"), collation: str | None = None) -> DataFrame:
     """High-risk vendors, one row per vendor and leakage period (left join)."""
-    risky = vrs.filter(F.col("risk_category").isin(*categories))
+    risky = vrs.filter(S.compared("risk_category", collation).isin(*categories))
     j = (vm.select("vendor_id", "vendor_name", "gstin", "state").join(risky, "vendor_id")
          .join(ils.select("vendor_id", "itc_at_risk"), "vendor_id", "left"))
     return (j.select("vendor_name", "gstin", "state", "vendor_risk_score", "risk_category",

@@ -98,6 +98,41 @@ def test_forest_limits(spark):
         forest.train_forest(one.limit(0).withColumn("y", F.lit(1.0)), risk.FEATURES, "y")
 
 
+# --- isolation trees --------------------------------------------------------------------------
+
+@pytest.mark.parametrize("seed", range(3))
+def test_isolation_trees_split_their_sample_as_their_nodes_say(seed):
+    from credtrail.operators.isoforest import _grow, average_path_length
+    r = np.random.default_rng(seed)
+    x = np.round(r.normal(size=(200, 3)), 1)
+    x[50:90] = x[50]
+    nodes = {n[0]: n for n in _grow(x, np.random.default_rng([seed, 1]), 8)}
+    seen, depth_of = set(), np.zeros(len(x))
+
+    def walk(node, rows, depth):
+        _, feature, threshold, left, right, size = nodes[node]
+        seen.add(node)
+        assert size == len(rows)
+        own = x[rows]
+        if feature < 0:
+            assert depth == 8 or len(rows) <= 1 or (own == own[0]).all()
+            depth_of[rows] = depth + average_path_length([len(rows)])[0]
+            return
+        assert own[:, feature].min() <= threshold <= own[:, feature].max() and own[:, feature].min() < own[:, feature].max()
+        goes = own[:, feature] < threshold
+        walk(left, rows[goes], depth + 1)
+        walk(right, rows[~goes], depth + 1)
+
+    walk(0, np.arange(len(x)), 0)
+    assert seen == set(nodes)
+    # c(n), with H(n - 1) = ln(n - 1) + gamma, is about the mean depth of a random search tree's outer nodes
+    for n in (10, 256):
+        exact = 2 * sum(1 / k for k in range(1, n)) - 2 * (n - 1) / n
+        assert average_path_length([n])[0] == pytest.approx(exact, rel=0.04)
+    # rows that stand alone are isolated sooner than the copies
+    assert depth_of[50:90].min() == depth_of[50:90].max()
+
+
 # --- seasonal fits ----------------------------------------------------------------------------
 
 def fit_by_hand(points, order=3, ridge=1e-3):

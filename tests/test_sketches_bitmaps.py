@@ -126,3 +126,24 @@ def test_aggregates_are_pushed_to_the_store(spark, catalog):
     with pytest.raises(ValueError):
         store.profile(table, ["tax_period"], ["total_tax"])
     assert spark.conf.get("spark.sql.parquet.aggregatePushdown") == "false"
+
+
+# --- comparison of texts ----------------------------------------------------------------------
+
+def test_insights_compare_texts_under_a_collation(spark):
+    from credtrail.plans import insights
+    vfc = spark.createDataFrame([("2023-Q1", "On Time", 0), ("2023-Q1", "on time", 1), ("2023-Q1", "DELAYED", 4)],
+                                "tax_period string, filing_status string, delay_days int")
+    plain, loose = (insights.i4_filing_compliance_by_period(vfc, c).first() for c in (None, "UTF8_LCASE"))
+    assert (plain.on_time_filings, plain.delayed_filings) == (1, 0) and (loose.on_time_filings, loose.delayed_filings) == (2, 1)
+    vm = spark.createDataFrame([("V1", "KA")], "vendor_id string, state string")
+    pr = spark.createDataFrame([("P1", "V1"), ("P2", "V1")], "purchase_invoice_id string, vendor_id string")
+    irr = spark.createDataFrame([("P1", "R1", "unmatched "), ("P2", "R2", "Matched")],
+                                "purchase_invoice_id string, reconciliation_id string, match_status string")
+    counts = [insights.i3_mismatch_rate_by_state(vm, pr, irr, collation=c).first().mismatch_count for c in (None, "UTF8_LCASE", "UTF8_LCASE_RTRIM")]
+    assert counts == [0, 0, 1]
+    vrs = spark.createDataFrame([("V1", "HIGH", 50.0)], "vendor_id string, risk_category string, vendor_risk_score double") \
+        .selectExpr("*", "0D as mismatch_rate", "0D as filing_delay_frequency")
+    names = vm.selectExpr("*", "'n' as vendor_name", "'g' as gstin")
+    ils = spark.createDataFrame([("V1", 1.0)], "vendor_id string, itc_at_risk double")
+    assert [insights.i5_high_risk_vendors(names, vrs, ils, collation=c).count() for c in (None, "UTF8_LCASE")] == [0, 1]
