@@ -51,8 +51,10 @@ def candidate_pairs(left: DataFrame, right: DataFrame, distance: int, tolerance:
 
     def keys(df: DataFrame, name: str, bands: Column) -> DataFrame:
         variants = F.explode(deletion_variants(F.col("number"), distance)).alias("variant")
-        hashed = df.filter("tax is not null").withColumn("band", F.explode(bands)).select("n", "gstin", "band", variants)
-        return hashed.select(F.col("n").alias(name), F.xxhash64("gstin", "variant", "band").alias(f"{name}_key"))
+        # the variants of a row are made once, then hashed with each band
+        hashed = df.filter("tax is not null").select("n", "gstin", bands.alias("bands"), variants)
+        keyed = hashed.select("n", F.xxhash64("gstin", "variant").alias("key"), F.explode("bands").alias("band"))
+        return keyed.select(F.col("n").alias(name), F.xxhash64("key", "band").alias(f"{name}_key"))
 
     # the tax of a partner lies in the own band or one beside it
     l = write_snapshot(keys(left, "p", F.array(band)), "fuzzy-left")
