@@ -90,6 +90,35 @@ def test_forest_is_the_same_however_rows_arrive_and_can_be_saved(spark):
     assert risk.score_vendors(feats, again).filter("risk_category is null").count() == 0
 
 
+def test_a_tree_is_the_same_in_parts_of_a_level(monkeypatch):
+    r = np.random.default_rng(5)
+    x = np.round(r.normal(size=(3000, 4)), 2)
+    y = 3 * x[:, 0] + r.normal(size=3000)
+    edges = forest.bin_edges(x, 256)
+    trees = []
+    for chunk, small in ((4_000_000, forest.SMALL), (5000, forest.SMALL), (4_000_000, ()), (5000, ())):
+        monkeypatch.setattr(forest, "CHUNK", chunk)
+        monkeypatch.setattr(forest, "SMALL", small, raising=False)
+        trees.append(forest.grow_tree(forest.binned(x, edges), y, edges, [7, 0], 30))
+    assert len(trees[0]["feature"]) > 2000
+    for tree in trees[1:]:
+        assert all(np.array_equal(tree[c], trees[0][c]) for c in tree)
+
+
+def test_a_forest_too_large_for_memory_is_written_and_scores_alike(spark, monkeypatch):
+    feats = synthetic(spark, 300)
+    held = {r.vendor_id: r.prediction for r in risk.train_risk_model(feats, num_trees=7)[1].collect()}
+    monkeypatch.setattr(forest, "MAX_NODES", 1000)
+    monkeypatch.setattr(forest, "BLOCK", 128, raising=False)
+    model, scored = risk.train_risk_model(feats, num_trees=7)
+    assert isinstance(model, forest.WrittenForest)
+    assert {r.vendor_id: r.prediction for r in scored.collect()} == held
+    path = tempfile.mkdtemp(prefix="credtrail-forest-") + "/model"
+    io.save_model(model, path)
+    again = io.load_model(path)
+    assert {r.vendor_id: r.prediction for r in again.transform(feats).collect()} == held
+
+
 def test_forest_limits(spark):
     assert forest.fits(1000, 16, 100) and not forest.fits(10 ** 7, 16, 100) and not forest.fits(10 ** 5, 16, 100)
     one = synthetic(spark, 1)
