@@ -25,8 +25,8 @@ Columns named like the results are replaced; all others pass through; repeated r
 scored.
 
 ``known_language`` tells which texts are in a learned language at all. The shortest code of a text
-must not exceed LIMIT_FACTOR times the usual bits per byte of that language, the median of up to
-LIMIT_DOCS labelled rows (and never ``MOST_BITS``, what a byte costs without any model); a text is
+must not exceed LIMIT_FACTOR times the usual bits per byte of that language, the median of all its
+labelled rows (and never ``MOST_BITS``, what a byte costs without any model); a text is
 granted that for SHORT_BYTES bytes more than it has, so that a few rare letters don't reject a
 short one. The median stays right with up to half of the rows mislabelled. A language with fewer
 than LEAST_DOCS such rows has no limit, and if no language was learned every text with a letter
@@ -41,7 +41,7 @@ import os
 import numpy as np
 import pyarrow as pa
 from pyspark import SparkFiles
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -53,11 +53,11 @@ ORDER = 3
 MAX_DOCS = 1500
 MAX_BYTES = 4 << 20
 SLICE_BYTES = 1 << 20
-LIMIT_DOCS = 500
 LEAST_DOCS = 30
 LIMIT_FACTOR = 2.5
 MOST_BITS = 8.0
 SHORT_BYTES = 16
+BINS = 4096  # of one bit per byte, in which the median is looked for first
 RESULTS = ("lang_pred", "score")
 
 
@@ -234,33 +234,43 @@ def predict(df: DataFrame, model: dict, text: str = "text") -> DataFrame:
     return df.select(*names).mapInArrow(run, schema)
 
 
-def usual_bits(labelled: DataFrame, model: dict, text: str = "text", lang: str = "lang", doc_id: str = "doc_id") -> dict:
-    """{language: median bits per byte of its rows in ``labelled``}, of those with LEAST_DOCS rows."""
+def usual_bits(labelled: DataFrame, model: dict, text: str = "text", lang: str = "lang") -> dict:
+    """{language: median bits per byte of all its rows in ``labelled`` (the lower one of two)}, of those
+    with LEAST_DOCS rows."""
     if not model["languages"]:
         return {}
     ship_package(labelled.sparkSession)
     sent = send(labelled.sparkSession, model)
-    rows = labelled.select(F.col(lang).cast("string").alias("lang"), F.col(text).alias("text"),
-                           F.pmod(F.xxhash64(F.col(doc_id), F.lit("bits")), F.lit(1_000_000)).alias("h")) \
+    rows = labelled.select(F.col(lang).cast("string").alias("lang"), F.col(text).alias("text")) \
         .filter(F.col("lang").isin(model["languages"]) & (F.octet_length("text") > 0))
-    counts = rows.groupBy("lang").count().collect()
-    if not counts:
-        return {}
-    share = F.create_map(*[F.lit(x) for r in counts for x in (r["lang"], min(1.0, LIMIT_DOCS / r["count"]))])
-    sample = rows.filter(F.col("h") < share[F.col("lang")] * 1_000_000).select("lang", "text")
 
     def run(batches):
         frozen = opened(sent)
         for batch in batches:
             for part in slices(batch, "text", SLICE_BYTES):
-                column = part.column("text")
-                own = [frozen["languages"].index(x) for x in part.column("lang").to_pylist()]
-                bits = code_lengths(column, frozen)[np.arange(part.num_rows), own]
-                yield pa.RecordBatch.from_pydict({"lang": part.column("lang"),
-                                                  "bits": pa.array(bits / np.diff(text_bytes(column)[1]))})
-
-    found = sample.mapInArrow(run, "lang string, bits double").groupBy("lang") \
-        .agg(F.count("*").alias("n"), F.percentile_approx("bits", 0.5).alias("bits")).collect()
+                own = np.array([frozen["languages"].index(x) for x in part.column("lang").to_pylist()])
+                bits = np.zeros(part.num_rows)
+                for j in np.unique(own).tolist():
+                    at = np.flatnonzero(own == j)
+                    only = {"languages": frozen["languages"][j:j + 1], "tables": frozen["tables"][j:j + 1]}
+                    column = part.column("text").take(pa.array(at))
+                    bits[at] = code_lengths(column, only)[:, 0] / np.diff(text_bytes(column)[1])
+                yield pa.RecordBatch.from_pydict({"lang": part.column("lang"), "bits": pa.array(bits)})
+
+    # exact without a sort of all rows: the bin of the median, then the values in that bin
+    measured = write_snapshot(rows.mapInArrow(run, "lang string, bits double"), "ppm-bits") \
+        .withColumn("bin", F.floor(F.col("bits") * BINS))
+    upward, all_bins = Window.partitionBy("lang").orderBy("bin"), Window.partitionBy("lang")
+    bins = measured.groupBy("lang", "bin").agg(F.count("*").alias("n")).select(
+        "lang", "bin", "n", F.sum("n").over(upward).alias("end"), F.sum("n").over(all_bins).alias("rows"))
+    middle = F.ceil(F.col("rows") / 2)
+    hit = bins.filter((F.col("end") >= middle) & (F.col("end") - F.col("n") < middle)) \
+        .select("lang", "bin", middle.alias("middle"), (F.col("end") - F.col("n")).alias("before"), "rows")  # a row a language
+    values = measured.join(F.broadcast(hit), ["lang", "bin"]).groupBy("lang", "middle", "before", "rows", "bits") \
+        .agg(F.count("*").alias("n"))
+    end = F.sum("n").over(Window.partitionBy("lang").orderBy("bits")) + F.col("before")
+    found = values.withColumn("end", end).filter(F.col("end") >= F.col("middle")).groupBy("lang") \
+        .agg(F.min("bits").alias("bits"), F.max("rows").alias("n")).collect()
     return {r["lang"]: r["bits"] for r in found if r["n"] >= LEAST_DOCS}
 
 

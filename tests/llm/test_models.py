@@ -94,6 +94,21 @@ def insults(spark):
     return rows
 
 
+def test_usual_bits_are_the_median_of_all_labelled_rows(spark):
+    r = np.random.default_rng(3)
+    letters = {"aa": "abcdefgh ", "bb": "qrstuvwx "}
+    rows = [(i, "".join(r.choice(list(letters[x]), int(r.integers(3, 60)))), x)
+            for i, x in enumerate(["aa"] * 1300 + ["bb"] * 801 + ["cc"] * 7) if x in letters]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = ppm_language.learn(docs)
+    frozen = ppm_language.opened(ppm_language.send(spark, model))
+    bits = ppm_language.code_lengths(pa.array([x[1] for x in rows]), frozen) / np.array([len(x[1]) for x in rows])[:, None]
+    own = {x: np.sort(bits[[i for i, row in enumerate(rows) if row[2] == x], j]) for j, x in enumerate(model["languages"])}
+    assert ppm_language.usual_bits(docs, model) == {x: v[(len(v) - 1) // 2] for x, v in own.items()}
+    few = docs.filter("lang = 'bb'").limit(ppm_language.LEAST_DOCS - 1)
+    assert ppm_language.usual_bits(few, model) == {}
+
+
 def test_sentences_of_toxic_documents_are_found(spark, insults):
     df = spark.createDataFrame(insults, "doc_id long, text string, toxic int")
     model = toxicity_mil.learn(df, df.filter("doc_id < 600").select("doc_id", "toxic"))
