@@ -29,6 +29,7 @@ from credtrail.operators.quantiles import exact_quantiles
 from credtrail.session import ship_package, write_snapshot
 
 EULER_GAMMA = 0.5772156649015329
+BLOCK = 4096
 NODE_SCHEMA = ("tree int, node int, feature int, threshold double, left int, right int, "
                "size long")
 
@@ -70,6 +71,24 @@ def _grow(x: np.ndarray, rng: np.random.Generator, max_depth: int) -> list[tuple
     return [tuple(n) for n in nodes]
 
 
+def _stepping(feat, thr, left, right, size) -> list[tuple]:
+    """Of each tree: feature, threshold, the two children (right, then left; a leaf's are itself), path length
+    and the number of steps that bring every row to a leaf."""
+    out = []
+    for f, threshold, lefts, rights, sizes in zip(feat, thr, left, right, size, strict=True):
+        own = np.arange(len(f))
+        inner = f >= 0
+        child = np.stack([np.where(inner, rights, own), np.where(inner, lefts, own)], axis=1)
+        depth = np.zeros(len(f))
+        at, steps = np.zeros(1, np.int64), 0
+        while len(at := at[inner[at]]):
+            below = child[at].ravel()
+            depth[below] = np.repeat(depth[at], 2) + 1
+            at, steps = below, steps + 1
+        out.append((np.where(inner, f, 0), threshold, child.ravel(), depth + average_path_length(sizes), steps))
+    return out
+
+
 class IsolationForestModel:
     def __init__(self, nodes: pd.DataFrame, means, stds, features, sample_size, offset=None):
         self.nodes, self.means, self.stds = nodes, list(means), list(stds)
@@ -96,30 +115,26 @@ class IsolationForestModel:
     def score_column(self, spark):
         """pandas UDF: per row, sklearn-style score_samples = -2^(-E[h(x)] / c(psi))."""
         ship_package(spark)
-        arrays = spark.sparkContext.broadcast(self._arrays())
+        shared = spark.sparkContext.broadcast(_stepping(*self._arrays()))
         means, stds = np.array(self.means), np.array(self.stds)
         c_psi = float(average_path_length([self.sample_size])[0])
 
         @F.pandas_udf(T.DoubleType())
         def score(*cols: pd.Series) -> pd.Series:
-            feat, thr, left, right, size = arrays.value
+            trees = shared.value
             x = (np.column_stack([c.to_numpy(dtype=float) for c in cols]) - means) / stds
-            n, trees = len(x), feat.shape[0]
-            tree = np.arange(trees)[None, :]
-            row = np.arange(n)[:, None]
-            node = np.zeros((n, trees), dtype=np.int64)   # every row in every tree at once
-            depth = np.zeros((n, trees))
-            while True:
-                f = feat[tree, node]
-                active = f >= 0
-                if not active.any():
-                    break
-                go_left = x[row, np.where(active, f, 0)] < thr[tree, node]
-                step = np.where(go_left, left[tree, node], right[tree, node])
-                node = np.where(active, step, node)
-                depth += active
-            path = depth + average_path_length(size[tree, node])
-            return pd.Series(-np.power(2.0, -path.mean(axis=1) / c_psi))
+            out = np.empty(len(x))
+            for start in range(0, len(x), BLOCK):  # work arrays that stay in the processor's cache
+                part = x[start:start + BLOCK]
+                flat, first = part.ravel(), np.arange(len(part)) * part.shape[1]
+                path = np.empty((len(part), len(trees)))
+                for t, (feature, threshold, child, length, steps) in enumerate(trees):
+                    node = np.zeros(len(part), np.int64)
+                    for _ in range(steps):
+                        node = child.take(2 * node + (flat.take(first + feature.take(node)) < threshold.take(node)))
+                    path[:, t] = length.take(node)
+                out[start:start + BLOCK] = path.mean(axis=1)
+            return pd.Series(-np.power(2.0, -out / c_psi))
 
         return score(*[F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in self.features])
 
