@@ -10,7 +10,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from credtrail.operators import forest, risk
+from credtrail.operators import forest, isoforest, risk
 from credtrail.operators.forecast import forecast, seasonal_coefficients
 from credtrail.sources import io
 
@@ -119,6 +119,27 @@ def test_a_forest_too_large_for_memory_is_written_and_scores_alike(spark, monkey
     assert {r.vendor_id: r.prediction for r in again.transform(feats).collect()} == held
 
 
+def test_isolation_scores_are_those_of_a_walk_from_the_root(spark):
+    r = np.random.default_rng(2)
+    frame = spark.createDataFrame([(i, float(a), float(b) if i % 9 else None) for i, (a, b) in enumerate(r.lognormal(size=(700, 2)))],
+                                  "id long, a double, b double")
+    model = isoforest.IsolationForest(trees=11, sample_size=64, features=["a", "b"]).fit(frame)
+    trees = {t: {n.node: n for n in own.itertuples()} for t, own in model.nodes.groupby("tree")}
+
+    def length(tree, x):
+        at, depth = tree[0], 0
+        while at.feature >= 0:
+            at, depth = tree[at.left if x[at.feature] < at.threshold else at.right], depth + 1
+        return depth + isoforest.average_path_length([at.size])[0]
+
+    c = isoforest.average_path_length([model.sample_size])[0]
+    for row in model.score(frame).collect():
+        x = [((v or 0.0) - m) / s for v, m, s in zip((row.a, row.b), model.means, model.stds, strict=True)]
+        mean = np.mean([length(tree, x) for tree in trees.values()])
+        assert row._score_samples == pytest.approx(-2.0 ** (-mean / c), rel=1e-12)
+    assert [len(t) for t in isoforest._stepping(*model._arrays())] == [5] * 11
+
+
 def test_forest_limits(spark):
     assert forest.fits(1000, 16, 100) and not forest.fits(10 ** 7, 16, 100) and not forest.fits(10 ** 5, 16, 100)
     one = synthetic(spark, 1)

@@ -1,6 +1,7 @@
 """Sources and sinks, streaming ingest, and the end-to-end pipeline."""
 
 import contextlib
+import datetime as dt
 import io as io_text
 import os
 import tempfile
@@ -8,8 +9,9 @@ import tempfile
 import pytest
 
 from credtrail.operators import anomaly
-from credtrail.sources import io, quality
-from credtrail.sources.schemas import TABLES
+from credtrail.sources import io, quality, testdata
+from credtrail.sources.schemas import TABLES, cast_to_schema
+from tests.conftest import SF_SMALL
 
 
 def _tmp():
@@ -237,3 +239,22 @@ def test_pipeline_from_csv_inputs(spark, catalog):
             "mismatch_type", "tax_difference"]
     assert got.select(*cols).exceptAll(want.select(*cols)).count() == 0
     assert got.count() == want.count()
+
+
+def test_written_inputs_are_narrow_and_compressed(spark, monkeypatch, tmp_path):
+    import glob
+
+    from credtrail.plans import catalog
+    kept = {}
+    write = catalog.write_snapshot
+    monkeypatch.setattr(catalog, "write_snapshot", lambda df, name: kept.setdefault(name, write(df, name)))
+    c = catalog.Catalog(spark, SF_SMALL, dt.date(1999, 1, 1))
+    monkeypatch.setattr(catalog, "_written", {})
+    c.table("purchase_register")
+    assert len(kept["invoice-base"].columns) == 7
+    base = testdata.invoice_base(c.raw("lineitem"), c.raw("supplier"), c.raw("nation"))
+    for name in ("purchase_register", "gstr2b_data", "vendor_filing_compliance"):
+        want, got = cast_to_schema(getattr(testdata, name)(base), name), c.table(name)
+        assert want.exceptAll(got).isEmpty() and got.exceptAll(want).isEmpty()
+        path = catalog._written[c._key(name)]
+        assert glob.glob(f"{path.removeprefix('file:')}/*.zstd.parquet")
