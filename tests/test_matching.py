@@ -113,3 +113,58 @@ def test_variants_meet_within_the_distance(spark):
         for a, b in itertools.combinations(words, 2):
             if edits(a, b) <= distance:
                 assert variants[a] & variants[b], (a, b)
+
+
+def long_numbers(r, n, mark):
+    return [(f"{mark}{i:03d}", f"s{r.randint(0, 9)}", "INV-" + "".join(r.choices("0123456789", k=16)), f"{r.randint(10, 30)}.00") for i in range(n)]
+
+
+def with_slips(r, rows, mark):
+    """Some of ``rows`` with one digit lost, as the other side's rows."""
+    return [(f"{mark}{i:03d}", s, n[:8] + n[9:], t) for i, (_, s, n, t) in enumerate(r.sample(rows, 25))]
+
+
+def test_few_rows_are_written_where_groups_are_small(spark, monkeypatch):
+    from credtrail.operators import matching
+    written = {}
+
+    def write(df, name="x", real=matching.write_snapshot):
+        out = real(df, name)
+        written[name] = written.get(name, 0) + out.count()
+        return out
+
+    monkeypatch.setattr(matching, "write_snapshot", write)
+    r = random.Random(5)
+    left = long_numbers(r, 80, "p")
+    right = with_slips(r, left, "g") + long_numbers(r, 50, "h")
+    got = matched(fuzzy_matches(*frames(spark, left, right), distance=2, tolerance=1.0))
+    assert got == greedy(left, right, 2, 1) and len(got) == 25
+    # two deletions from twenty characters make some 200 variants a row, three bands each on one side
+    assert sum(written.values()) < 5 * (len(left) + len(right)), written
+
+
+@pytest.mark.parametrize("most", [0, 1])
+def test_crowded_groups_meet_by_variants(spark, monkeypatch, most):
+    from credtrail.operators import matching
+    names = []
+    write = matching.write_snapshot
+    monkeypatch.setattr(matching, "write_snapshot", lambda df, name="x": (names.append(name), write(df, name))[1])
+    monkeypatch.setattr(matching, "PAIRS_PER_ROW", most)  # 0: every group that has pairs; 1: some of them
+    r = random.Random(6)
+    left = long_numbers(r, 60, "p") + [(f"q{i:02d}", "s1", f"INV-{i}", "20.00") for i in range(12)]
+    right = with_slips(r, left, "g") + [(f"h{i:02d}", "s1", f"JNV-{i}", f"{20 + i % 2}.00") for i in range(12)]
+    rows = fuzzy_matches(*frames(spark, left, right), distance=2, tolerance=1.5).collect()
+    want = greedy(left, right, 2, 1.5)
+    assert {(x.purchase_invoice_id, x.gstr2b_id, x.edits) for x in rows} == want and len(rows) == len(want) > 20
+    assert "fuzzy-variants-p" in names
+
+
+def test_left_over_rows_are_those_without_the_other_sides_key(spark):
+    from credtrail.operators.matching import left_over
+    shape = "gstin string, number string, id int"
+    p = spark.createDataFrame([("x", f"n{i % 40}", i) for i in range(120)] + [("xn", "1", 900), ("x", "n1", 901)], shape)
+    g = spark.createDataFrame([("x", f"n{i}", i) for i in range(30, 60)] + [("x", "n1", 900), ("x", "n1", 901)], shape)
+    a, b = ({x.id for x in side.collect()} for side in left_over(p, g))
+    assert a == {i for i in range(120) if i % 40 < 30 and i % 40 != 1} | {900} and b == set(range(40, 60))
+    one, none = left_over(p, g.limit(0))
+    assert one.count() == 122 and none.count() == 0
