@@ -4,6 +4,7 @@ import pytest
 
 from credtrail.plans import catalog as C
 from credtrail.plans import pipeline
+from credtrail.sources import testdata
 
 LINES = [(o, o % 3 + 1, n, f"199{o % 5 + 3}-0{o % 9 + 1}-11", 100.0 * o + n, 0.01 * (o % 9)) for o in range(1, 90) for n in (1, 2)]
 
@@ -42,3 +43,20 @@ def test_stage_tables_equal_those_made_together(made):
     for name in reversed(C.STAGE_TABLES):
         got = made.table(name)
         assert got.count() > 2 and rows(got) == rows(C.cast_to_schema(want[name], name))
+
+
+def test_order_lines_are_summed_behind_the_shuffle(made, monkeypatch):
+    raw = [made.raw(n) for n in ("lineitem", "supplier", "nation")]
+    raw[0] = raw[0].unionByName(raw[0].filter("l_orderkey < 20")).unionByName(raw[0].selectExpr("* except(l_orderkey)", "cast(null as long) l_orderkey"))
+    want = testdata.invoice_sums(*raw)
+    got = testdata.invoice_sums(*raw, parts=5)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert rows(got) == rows(want) and got.schema == want.schema
+    assert "Aggregate" in plan and "Aggregate" not in plan[plan.index("REPARTITION_BY_NUM"):]
+    # the catalog deals them to parts that fit in memory
+    parts = []
+    sums = testdata.invoice_sums
+    monkeypatch.setattr(C, "LINES_PER_PART", 10)
+    monkeypatch.setattr(C.testdata, "invoice_sums", lambda *a: (parts.append(a[3]), sums(*a))[1])
+    again = C.Catalog(made.spark, made.sf_dir + "/")
+    assert again.table("purchase_register").count() > 100 and parts == [-(-len(LINES) // 10)]
